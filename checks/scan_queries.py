@@ -215,7 +215,8 @@ def _fit_tables(prefix, spec_name, columns, strata, exposures, outcomes):
         for o in outcomes)
     tables_[f"{prefix}_open"] = (f"select r.* from {prefix}_rows r "
                                  f"where fit in (select fit from {prefix}_gate)")
-    tables_.update(newton(prefix, f"{prefix}_open", ["x", *columns], steps=8))
+    steps = 12 if len(columns) > 6 else 7  # rare levels without cases converge slowly
+    tables_.update(newton(prefix, f"{prefix}_open", ["x", *columns], steps))
     suffix = f"case strata when 'all' then 'overall' else strata end"
     tables_[f"{prefix}_result"] = f"""
 select outcome, exposure_id, '{spec_name}_' || {suffix} as model_spec_id, strata, n, n_cases,

@@ -92,30 +92,46 @@ def with_tables(select: str, *names: str, extra: dict[str, str] | None = None,
     return "with " + ",\n".join(parts) + "\n" + select
 
 
-def newton(prefix: str, rows: str, columns: list[str], steps: int = 9) -> dict[str, str]:
-    """Logistic fits in SQL: Newton steps, each solved by Gauss-Jordan sweeps.
+def newton(prefix: str, rows: str, columns: list[str], steps: int = 7) -> dict[str, str]:
+    """Logistic fits in SQL, every step solved by Gauss-Jordan sweeps.
 
-    ``rows`` has ``fit, n, k`` and the design ``columns``.  The last table,
-    ``<prefix>_fit``, has the estimate and variance of the first column.
+    ``rows`` has ``fit, n, k`` and the design ``columns``.  The first step uses
+    fitted values of 3/4 and 1/4, later ones are Newton steps; a fit ends with
+    the first step whose deviance differs by less than 1e-8 from the one
+    before, keeping the variance that step was solved with.  ``<prefix>_fit``
+    has estimate ``b`` and variance ``v`` of the first column.
     """
     x = ["1.0", *columns]
     p = len(x)
-    ij = [(i, j) for i in range(p) for j in range(i, p)]
+    betas = [f"b{i}" for i in range(p)]
     tables: dict[str, str] = {}
     previous = f"{prefix}_b0"
-    tables[previous] = (f"select fit, ln(sum(k) / sum(n - k)) as b0, "
-                        + ", ".join(f"0.0 as b{i}" for i in range(1, p))
-                        + (", " if p > 1 else "") + f"0.0 as v from {rows} group by fit")
-    betas = [f"b{i}" for i in range(p)]
-    for step in range(1, steps + 1):
-        eta = " + ".join(f"b{i} * {x[i]}" for i in range(p))
+    tables[previous] = (f"select fit, {', '.join(f'0.0 as {b}' for b in betas)}, 0.0 as v "
+                        f"from {rows} group by fit")
+    eta = " + ".join(f"b{i} * {x[i]}" for i in range(p))
+    ends = []
+    for step in range(1, steps + 2):
+        if step == 1:
+            score = ("select *, 0.1875 * (ln(3) + 4 / 3.0) * (2 * k - n) as r, 0.1875 * n as w, "
+                     "-2 * n * ln(0.75) as d")
+        else:
+            score = ("select *, k - n * mu as r, n * mu * (1 - mu) as w, "
+                     "-2 * (k * ln(mu) + (n - k) * ln(1 - mu)) as d")
         sums = f"{prefix}_s{step}"
         tables[sums] = (
-            "select fit, " + ", ".join(f"any_value({b}) as {b}" for b in betas) + ", "
-            + ", ".join(f"sum(w * {x[i]} * {x[j]}) as m_{i}_{j}" for i, j in ij) + ", "
+            "select fit, sum(d) as dev, any_value(v) as v, "
+            + ", ".join(f"any_value({b}) as {b}" for b in betas) + ", "
+            + ", ".join(f"sum(w * {x[i]} * {x[j]}) as m_{i}_{j}"
+                        for i in range(p) for j in range(i, p)) + ", "
             + ", ".join(f"sum(r * {x[i]}) as g_{i}" for i in range(p))
-            + f" from (select *, k - n * mu as r, n * mu * (1 - mu) as w from (select *, "
-              f"1 / (1 + exp(-({eta}))) as mu from {rows} join {previous} using (fit))) group by fit")
+            + f" from ({score} from (select *, 1 / (1 + exp(-({eta}))) as mu "
+              f"from {rows} join {previous} using (fit))) group by fit")
+        if step > 1:
+            ends.append(f"select a.fit, {step - 1} as step, a.b1 as b, a.v from {sums} a "
+                        f"join {prefix}_s{step - 1} c using (fit) "
+                        f"where abs(a.dev - c.dev) / (abs(a.dev) + 0.1) < 1e-8")
+        if step > steps:
+            break
         # Augmented system [H | g | e1], symmetric part spelled out in full.
         full = f"{prefix}_m{step}_0"
         cells = [f"m_{min(i, j)}_{max(i, j)} as a_{i}_{j}" for i in range(p) for j in range(p)]
@@ -123,17 +139,19 @@ def newton(prefix: str, rows: str, columns: list[str], steps: int = 9) -> dict[s
         cells += [f"{1.0 if i == 1 else 0.0} as a_{i}_{p + 1}" for i in range(p)]
         tables[full] = f"select fit, {', '.join(betas)}, {', '.join(cells)} from {sums}"
         for k in range(p):
-            nxt = f"{prefix}_m{step}_{k + 1}"
+            swept = f"{prefix}_m{step}_{k + 1}"
             cells = []
             for i in range(p):
                 for j in range(k + 1, p + 2):
                     pivot = f"(a_{k}_{j} / a_{k}_{k})"
                     cells.append(f"{pivot} as a_{i}_{j}" if i == k
                                  else f"a_{i}_{j} - a_{i}_{k} * {pivot} as a_{i}_{j}")
-            tables[nxt] = f"select fit, {', '.join(betas)}, {', '.join(cells)} from {full}"
-            full = nxt
+            tables[swept] = f"select fit, {', '.join(betas)}, {', '.join(cells)} from {full}"
+            full = swept
         previous = f"{prefix}_b{step}"
         tables[previous] = ("select fit, " + ", ".join(f"b{i} + a_{i}_{p} as b{i}" for i in range(p))
                             + f", a_1_{p + 1} as v from {full}")
-    tables[f"{prefix}_fit"] = f"select fit, b1 as b, v from {previous}"
+    tables[f"{prefix}_fit"] = (
+        f"select fit, b, v from ({' union all '.join(ends)}) "
+        "qualify row_number() over (partition by fit order by step) = 1")
     return tables

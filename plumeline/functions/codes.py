@@ -10,25 +10,23 @@ from pyspark.sql import Column, functions as F
 from ..config import Phenotype
 
 
-def starts_with_any(code: Column, prefixes: Iterable[str]) -> Column:
-    """True if ``code`` begins with any prefix; NULL codes give false.
+def starts_with_any(code: str, prefixes: Iterable[str]) -> Column:
+    """True if the column begins with any prefix; NULL codes give false.
 
     Prefixes of one length become one hashed ``IN`` set over a substring, so
     the cost per row does not grow with the number of prefixes.
     """
     by_length: dict[int, list[str]] = {}
     for prefix in prefixes:
-        by_length.setdefault(len(prefix), []).append(prefix)
-    if not by_length:
-        return F.lit(False)
-    matched = None
-    for length, group in sorted(by_length.items()):
-        test = F.substring(code, 1, length).isin(group)
-        matched = test if matched is None else matched | test
-    return F.coalesce(matched, F.lit(False))
+        if not prefix.isalnum():
+            raise ValueError(f"not a code prefix: {prefix!r}")
+        by_length.setdefault(len(prefix), []).append(f"'{prefix}'")
+    tests = [f"substring(`{code}`, 1, {length}) in ({', '.join(group)})"
+             for length, group in sorted(by_length.items())]
+    return F.expr(f"coalesce({' or '.join(tests) or 'false'}, false)")
 
 
-def phenotype_flag(code: Column, phenotype: Phenotype, *, on: Column | None = None,
+def phenotype_flag(code: str, phenotype: Phenotype, *, on: str | None = None,
                    split_at: date | None = None) -> Column:
     """Does the primary diagnosis belong to the phenotype?
 
@@ -40,10 +38,8 @@ def phenotype_flag(code: Column, phenotype: Phenotype, *, on: Column | None = No
         return starts_with_any(code, phenotype.icd9 + phenotype.icd10)
     if on is None:
         raise ValueError("split_at needs the visit date")
-    return F.coalesce(
-        F.when(on < F.lit(split_at), starts_with_any(code, phenotype.icd9))
-        .otherwise(starts_with_any(code, phenotype.icd10)),
-        F.lit(False))
+    return (F.when(F.col(on) < F.lit(split_at), starts_with_any(code, phenotype.icd9))
+            .otherwise(starts_with_any(code, phenotype.icd10)))
 
 
 def join_present(columns: list[str], separator: str = ";") -> Column:

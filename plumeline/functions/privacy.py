@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import MIN_CELL_SIZE
 
-# Characters of an 11-digit tract id that name each geography.
-_TRACT_PREFIX = {"tract": 11, "county": 5, "state": 2}
+# Leading characters of a tract id that name each geography.
+_TRACT_PREFIX = {"county": 5, "state": 2}
 
 
 def salted_hash(key: Column, salt: str) -> Column:
@@ -35,6 +35,8 @@ def coarsen_date(day: Column, precision: str) -> Column:
 
 def coarsen_geography(precision: str, *, tract: Column, zip5: Column) -> Column:
     """Geography at the asked precision: tract, zip5, county or state."""
+    if precision == "tract":
+        return tract
     if precision == "zip5":
         return zip5
     if precision in _TRACT_PREFIX:

@@ -19,8 +19,7 @@ def add_phenotypes(visits: DataFrame, phenotypes: Iterable[Phenotype] = PHENOTYP
                    split_at: date | None = None) -> DataFrame:
     """One boolean ``<name>_flag`` per phenotype, from the primary diagnosis."""
     return visits.withColumns({
-        p.flag: codes.phenotype_flag(F.col("dx_primary"), p, on=F.col("admit_date"),
-                                     split_at=split_at)
+        p.flag: codes.phenotype_flag("dx_primary", p, on="admit_date", split_at=split_at)
         for p in phenotypes})
 
 
@@ -78,7 +77,7 @@ def with_calendar(months: DataFrame) -> DataFrame:
 
 def asthma_person_month(visits: DataFrame) -> DataFrame:
     """The earlier, narrower cohort: J45 only, no tract, no demographics."""
-    flagged = visits.withColumn("asthma_flag", codes.starts_with_any(F.col("dx_primary"), ["J45"]))
+    flagged = visits.withColumn("asthma_flag", codes.starts_with_any("dx_primary", ["J45"]))
     return (flagged.groupBy("person_id", dates.month_floor(F.col("admit_date")).alias("ym"))
             .agg(last_present("zip5").alias("zip5"),
                  F.lit(None).cast("string").alias("tract_geoid"),

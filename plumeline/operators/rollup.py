@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -12,7 +11,7 @@ from .exposures import to_wide
 
 # Stands in for a missing month inside join keys, so that both sides can be
 # matched by plain equality and share one hash partitioning.
-_NO_MONTH = date(1, 1, 1)
+_NO_MONTH = "0001-01-01"
 
 
 def available_features(columns: Sequence[str],
@@ -45,7 +44,7 @@ def attach_rollup(months: DataFrame, rollup: DataFrame, exposure_ids: Iterable[s
     once and the cohort once.
     """
     ids = list(exposure_ids)
-    month_key = F.coalesce("ym", F.lit(_NO_MONTH))
+    month_key = F.coalesce("ym", F.lit(_NO_MONTH).cast("date"))
     wide = to_wide(
         rollup.filter(F.col("metric") == "mean").select(
             "person_id", month_key.alias("month_key"), "exposure_id", "value"),
