@@ -93,15 +93,16 @@ def with_tables(select: str, *names: str, extra: dict[str, str] | None = None,
 
 
 def newton(prefix: str, rows: str, columns: list[str], steps: int = 7) -> dict[str, str]:
-    """Logistic fits in SQL, every step solved by Gauss-Jordan sweeps.
+    """Logistic fits in SQL, every step solved by elimination.
 
     ``rows`` has ``fit, n, k`` and the design ``columns``.  The first step uses
     fitted values of 3/4 and 1/4, later ones are Newton steps; a fit ends with
     the first step whose deviance differs by less than 1e-8 from the one
     before, keeping the variance that step was solved with.  ``<prefix>_fit``
-    has estimate ``b`` and variance ``v`` of the first column.
+    has estimate ``b`` and variance ``v`` of the first column, which is
+    eliminated last: its variance is then the inverse of the last pivot.
     """
-    x = ["1.0", *columns]
+    x = ["1.0", *columns[1:], columns[0]]
     p = len(x)
     betas = [f"b{i}" for i in range(p)]
     tables: dict[str, str] = {}
@@ -127,30 +128,35 @@ def newton(prefix: str, rows: str, columns: list[str], steps: int = 7) -> dict[s
             + f" from ({score} from (select *, 1 / (1 + exp(-({eta}))) as mu "
               f"from {rows} join {previous} using (fit))) group by fit")
         if step > 1:
-            ends.append(f"select a.fit, {step - 1} as step, a.b1 as b, a.v from {sums} a "
+            ends.append(f"select a.fit, {step - 1} as step, a.b{p - 1} as b, a.v from {sums} a "
                         f"join {prefix}_s{step - 1} c using (fit) "
                         f"where abs(a.dev - c.dev) / (abs(a.dev) + 0.1) < 1e-8")
         if step > steps:
             break
-        # Augmented system [H | g | e1], symmetric part spelled out in full.
-        full = f"{prefix}_m{step}_0"
-        cells = [f"m_{min(i, j)}_{max(i, j)} as a_{i}_{j}" for i in range(p) for j in range(p)]
-        cells += [f"g_{i} as a_{i}_{p}" for i in range(p)]
-        cells += [f"{1.0 if i == 1 else 0.0} as a_{i}_{p + 1}" for i in range(p)]
-        tables[full] = f"select fit, {', '.join(betas)}, {', '.join(cells)} from {sums}"
-        for k in range(p):
-            swept = f"{prefix}_m{step}_{k + 1}"
-            cells = []
-            for i in range(p):
-                for j in range(k + 1, p + 2):
-                    pivot = f"(a_{k}_{j} / a_{k}_{k})"
-                    cells.append(f"{pivot} as a_{i}_{j}" if i == k
-                                 else f"a_{i}_{j} - a_{i}_{k} * {pivot} as a_{i}_{j}")
-            tables[swept] = f"select fit, {', '.join(betas)}, {', '.join(cells)} from {full}"
-            full = swept
+        # Upper triangle only: level k holds the system without unknowns 0..k-1.
+        level = sums
+        for k in range(1, p):
+            swept, j0 = f"{prefix}_m{step}_{k}", k - 1
+            cells = [f"m_{i}_{j} - m_{j0}_{i} * m_{j0}_{j} / m_{j0}_{j0} as m_{i}_{j}"
+                     for i in range(k, p) for j in range(i, p)]
+            cells += [f"g_{i} - m_{j0}_{i} * g_{j0} / m_{j0}_{j0} as g_{i}" for i in range(k, p)]
+            tables[swept] = f"select fit, {', '.join(cells)} from {level}"
+            level = swept
+        # Back substitution, the last unknown first.
+        at = [sums, *[f"{prefix}_m{step}_{k}" for k in range(1, p)]]
+        solved = f"{prefix}_x{step}_{p}"
+        tables[solved] = f"select fit, 1 / m_{p - 1}_{p - 1} as v from {at[-1]}"
+        for i in reversed(range(p)):
+            known = "".join(f" - m_{i}_{j} * x{j}" for j in range(i + 1, p))
+            xs = "".join(f"x{j}, " for j in range(i + 1, p))
+            tables[f"{prefix}_x{step}_{i}"] = (
+                f"select fit, {solved}.v, {xs}(g_{i}{known}) / m_{i}_{i} as x{i} "
+                f"from {solved} join {at[i]} using (fit)")
+            solved = f"{prefix}_x{step}_{i}"
         previous = f"{prefix}_b{step}"
-        tables[previous] = ("select fit, " + ", ".join(f"b{i} + a_{i}_{p} as b{i}" for i in range(p))
-                            + f", a_1_{p + 1} as v from {full}")
+        tables[previous] = (f"select fit, {solved}.v, "
+                            + ", ".join(f"b{i} + x{i} as b{i}" for i in range(p))
+                            + f" from {sums} join {solved} using (fit)")
     tables[f"{prefix}_fit"] = (
         f"select fit, b, v from ({' union all '.join(ends)}) "
         "qualify row_number() over (partition by fit order by step) = 1")

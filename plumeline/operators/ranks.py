@@ -31,7 +31,7 @@ def group_key(keys: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class Ranked:
-    """Distinct values per group with counts: ``g, v, cnt, before, total, chunk``.
+    """Distinct values per group with counts: ``_grp, _val, cnt, before, total, chunk``.
 
     ``before`` is the number of rows of the group with a smaller value and
     ``total`` its number of non-null rows.
@@ -43,53 +43,53 @@ class Ranked:
 
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str,
                   chunk_rows: int = CHUNK_ROWS) -> Ranked:
-    rows = df.select(group_key(keys).alias("g"), F.col(value).cast("double").alias("v"))
-    rows = rows.filter(F.col("v").isNotNull())
+    rows = df.select(group_key(keys).alias("_grp"), F.col(value).cast("double").alias("_val"))
+    rows = rows.filter(F.col("_val").isNotNull())
     chunks = min(MAX_CHUNKS, ceil(rows.count() / chunk_rows))
-    distinct = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    distinct = rows.groupBy("_grp", "_val").agg(F.count(F.lit(1)).alias("cnt"))
 
     if chunks <= 1:
-        so_far = Window.partitionBy("g").orderBy("v").rowsBetween(
+        so_far = Window.partitionBy("_grp").orderBy("_val").rowsBetween(
             Window.unboundedPreceding, Window.currentRow)
         return Ranked(distinct.withColumns({
             "chunk": F.lit(0.0),
             "before": F.sum("cnt").over(so_far) - F.col("cnt"),
-            "total": F.sum("cnt").over(Window.partitionBy("g")),
+            "total": F.sum("cnt").over(Window.partitionBy("_grp")),
         }), 1)
 
     probabilities = [i / chunks for i in range(1, chunks)]
-    cuts = sorted(set(rows.approxQuantile("v", probabilities, 1 / (4 * chunks))))
-    cutter = Bucketizer(splits=[-inf, *cuts, inf], inputCol="v", outputCol="chunk",
+    cuts = sorted(set(rows.approxQuantile("_val", probabilities, 1 / (4 * chunks))))
+    cutter = Bucketizer(splits=[-inf, *cuts, inf], inputCol="_val", outputCol="chunk",
                         handleInvalid="keep")
     distinct = cutter.transform(distinct)
 
-    by_chunk = Window.partitionBy("g").orderBy("chunk")
-    sizes = distinct.groupBy("g", "chunk").agg(F.sum("cnt").alias("chunk_cnt"))
+    by_chunk = Window.partitionBy("_grp").orderBy("chunk")
+    sizes = distinct.groupBy("_grp", "chunk").agg(F.sum("cnt").alias("chunk_cnt"))
     sizes = sizes.select(
-        "g", "chunk",
+        "_grp", "chunk",
         F.coalesce(F.sum("chunk_cnt").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("earlier"),
-        F.sum("chunk_cnt").over(Window.partitionBy("g")).alias("total"))
-    in_chunk = Window.partitionBy("g", "chunk").orderBy("v").rowsBetween(
+        F.sum("chunk_cnt").over(Window.partitionBy("_grp")).alias("total"))
+    in_chunk = Window.partitionBy("_grp", "chunk").orderBy("_val").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = distinct.join(if_small(sizes), ["g", "chunk"]).select(
-        "g", "v", "cnt", "chunk", "total",
+    ranked = distinct.join(if_small(sizes), ["_grp", "chunk"]).select(
+        "_grp", "_val", "cnt", "chunk", "total",
         (F.col("earlier") + F.sum("cnt").over(in_chunk) - F.col("cnt")).alias("before"))
     return Ranked(ranked, chunks)
 
 
 def _smallest_from_here_up(ranked: Ranked, column: str, alias: str) -> DataFrame:
     """Per group, the minimum of ``column`` over this and all larger values."""
-    upward = Window.partitionBy("g", "chunk").orderBy(F.desc("v")).rowsBetween(
+    upward = Window.partitionBy("_grp", "chunk").orderBy(F.desc("_val")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     df = ranked.df.withColumn(alias, F.min(column).over(upward))
     if ranked.chunks <= 1:
         return df
-    later = Window.partitionBy("g").orderBy(F.desc("chunk")).rowsBetween(
+    later = Window.partitionBy("_grp").orderBy(F.desc("chunk")).rowsBetween(
         Window.unboundedPreceding, -1)
-    minima = ranked.df.groupBy("g", "chunk").agg(F.min(column).alias("chunk_min"))
-    minima = minima.select("g", "chunk", F.min("chunk_min").over(later).alias("later_min"))
-    return (df.join(if_small(minima), ["g", "chunk"])
+    minima = ranked.df.groupBy("_grp", "chunk").agg(F.min(column).alias("chunk_min"))
+    minima = minima.select("_grp", "chunk", F.min("chunk_min").over(later).alias("later_min"))
+    return (df.join(if_small(minima), ["_grp", "chunk"])
             .withColumn(alias, F.least(F.col(alias), F.col("later_min"))).drop("later_min"))
 
 
@@ -121,17 +121,17 @@ def adjust_p(df: DataFrame, keys: Sequence[str], *, p: str = "p_value", fdr: str
         return _adjust_small(df, keys, p, fdr, bonferroni)
     ranked = ranked_values(df, keys, p, chunk_rows)
     scaled = ranked.df.withColumn(
-        "scaled", F.col("v") * F.col("total") / (F.col("before") + F.col("cnt")))
+        "scaled", F.col("_val") * F.col("total") / (F.col("before") + F.col("cnt")))
     adjusted = _smallest_from_here_up(Ranked(scaled, ranked.chunks), "scaled", "adj")
     columns = {fdr: F.least(F.lit(1.0), F.col("adj"))}
     if bonferroni:
-        columns[bonferroni] = F.least(F.lit(1.0), F.col("v") * F.col("total"))
-    adjusted = adjusted.select("g", "v", *[c.alias(n) for n, c in columns.items()])
+        columns[bonferroni] = F.least(F.lit(1.0), F.col("_val") * F.col("total"))
+    adjusted = adjusted.select("_grp", "_val", *[c.alias(n) for n, c in columns.items()])
 
     # Missing p-values skip the join, where they would all meet in one task.
     have = df.filter(F.col(p).isNotNull()).withColumns(
-        {"g": group_key(keys), "v": F.col(p).cast("double")})
-    joined = have.join(if_small(adjusted), ["g", "v"], "left").select(*df.columns, *columns)
+        {"_grp": group_key(keys), "_val": F.col(p).cast("double")})
+    joined = have.join(if_small(adjusted), ["_grp", "_val"], "left").select(*df.columns, *columns)
     missing = df.filter(F.col(p).isNull()).withColumns(
         {n: F.lit(None).cast("double") for n in columns})
     return joined.unionByName(missing)
@@ -165,12 +165,12 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, *
 
     def at(rank: Column) -> Column:
         inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
-        return F.max(F.when(inside, F.col("v")))
+        return F.max(F.when(inside, F.col("_val")))
 
-    picked = ranked_values(df, keys, value, chunk_rows).df.groupBy("g").agg(
+    picked = ranked_values(df, keys, value, chunk_rows).df.groupBy("_grp").agg(
         at(low).alias("lo"), at(high).alias("hi"), F.max(position - low).alias("part"))
     quantiles = picked.select(
-        *([F.col(f"g.{k}").alias(k) for k in keys]),
+        *([F.col(f"_grp.{k}").alias(k) for k in keys]),
         F.when(F.col("part") == 0, F.col("lo"))
         .otherwise((1 - F.col("part")) * F.col("lo") + F.col("part") * F.col("hi")).alias(alias))
     if not keys:
