@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from plumeline.config import LEGACY_MODEL_SPECS, MODEL_SPECS, PHENOTYPES, ModelSpec, select_specs
@@ -406,6 +408,27 @@ def odds_ratio_histogram(spark, sf):
         "bin_centre", F.round("bin_centre", 6))
 
 
+@query("stamped_results", with_tables("""
+select outcome, exposure_id, model_spec_id, '20240102_030405' as run_id,
+  timestamp '2024-01-02 03:04:05' as run_timestamp,
+  round(least(1.0, min(scaled_q) over (partition by model_spec_id, outcome order by p_value desc
+    rows between unbounded preceding and current row)), 6) as q_value,
+  p_value < 0.05 / count(*) over (partition by model_spec_id, outcome) as bonferroni_sig
+from (select *, p_value * count(*) over (partition by model_spec_id, outcome)
+    / count(*) over (partition by model_spec_id, outcome order by p_value) as scaled_q
+  from tested)""", "scan_input", extra=_ADJUSTED))
+def stamped_results(spark, sf):
+    """Results corrected within model and outcome and tagged with their run."""
+    keys = ["model_spec_id", "outcome"]
+    fits = scan.fit_models(inputs.scan_input(spark, sf), inputs.EXPOSURES, OUTCOMES,
+                           _SPECS_UNADJUSTED)
+    adjusted = ranks.adjust_p(fits, keys, fdr="q_value", bonferroni=None, bounded=True)
+    flagged = ranks.bonferroni_flag(adjusted, keys)
+    return scan.stamped(flagged, "20240102_030405", datetime(2024, 1, 2, 3, 4, 5)).select(
+        "outcome", "exposure_id", "model_spec_id", "run_id", "run_timestamp",
+        F.round("q_value", 6).alias("q_value"), "bonferroni_sig")
+
+
 @query("results_csv", with_tables(f"""
 select outcome, exposure_id, n, n_cases, {', '.join(
     f'round({c}, 3) as {c}' for c in ('odds_ratio', 'or_ci_low', 'or_ci_high'))},

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from contextlib import ExitStack
+from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -185,6 +186,12 @@ def adjusted(results: DataFrame) -> DataFrame:
             .orderBy("p_value", "model_spec_id", "exposure_id", "outcome"))
 
 
+def stamped(results: DataFrame, run_id: str, run_at: datetime) -> DataFrame:
+    """Results tagged with the run they came from."""
+    return results.withColumns({"run_id": F.lit(run_id),
+                                "run_timestamp": F.lit(run_at.isoformat()).cast("timestamp_ntz")})
+
+
 def scan(months: DataFrame, rollup: DataFrame, *, specs: Sequence[ModelSpec] = MODEL_SPECS,
          features: tuple[Feature, ...] = FEATURES, gate: irls.Gate = irls.Gate()) -> DataFrame:
     """The full scan from the cohort and the exposure rollup."""

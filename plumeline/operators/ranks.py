@@ -16,7 +16,8 @@ from math import ceil, inf
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .joins import if_small, join_null_safe
+from ..session import materialize
+from .joins import MAX_BROADCAST_ROWS, join_null_safe
 
 CHUNK_ROWS = 1_000_000
 MAX_CHUNKS = 4_096
@@ -61,7 +62,7 @@ def ranked_values(df: DataFrame, keys: Sequence[str], value: str,
     cuts = sorted(set(rows.approxQuantile("_val", probabilities, 1 / (4 * chunks))))
     cutter = Bucketizer(splits=[-inf, *cuts, inf], inputCol="_val", outputCol="chunk",
                         handleInvalid="keep")
-    distinct = cutter.transform(distinct)
+    distinct = materialize(cutter.transform(distinct), "ranks")  # read three times below
 
     by_chunk = Window.partitionBy("_grp").orderBy("chunk")
     sizes = distinct.groupBy("_grp", "chunk").agg(F.sum("cnt").alias("chunk_cnt"))
@@ -72,7 +73,8 @@ def ranked_values(df: DataFrame, keys: Sequence[str], value: str,
         F.sum("chunk_cnt").over(Window.partitionBy("_grp")).alias("total"))
     in_chunk = Window.partitionBy("_grp", "chunk").orderBy("_val").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ranked = distinct.join(if_small(sizes), ["_grp", "chunk"]).select(
+    # The window below needs rows by (group, chunk) anyway, so the join shares its shuffle.
+    ranked = distinct.join(sizes, ["_grp", "chunk"]).select(
         "_grp", "_val", "cnt", "chunk", "total",
         (F.col("earlier") + F.sum("cnt").over(in_chunk) - F.col("cnt")).alias("before"))
     return Ranked(ranked, chunks)
@@ -89,7 +91,7 @@ def _smallest_from_here_up(ranked: Ranked, column: str, alias: str) -> DataFrame
         Window.unboundedPreceding, -1)
     minima = ranked.df.groupBy("_grp", "chunk").agg(F.min(column).alias("chunk_min"))
     minima = minima.select("_grp", "chunk", F.min("chunk_min").over(later).alias("later_min"))
-    return (df.join(if_small(minima), ["_grp", "chunk"])
+    return (df.join(minima, ["_grp", "chunk"])
             .withColumn(alias, F.least(F.col(alias), F.col("later_min"))).drop("later_min"))
 
 
@@ -131,7 +133,9 @@ def adjust_p(df: DataFrame, keys: Sequence[str], *, p: str = "p_value", fdr: str
     # Missing p-values skip the join, where they would all meet in one task.
     have = df.filter(F.col(p).isNotNull()).withColumns(
         {"_grp": group_key(keys), "_val": F.col(p).cast("double")})
-    joined = have.join(if_small(adjusted), ["_grp", "_val"], "left").select(*df.columns, *columns)
+    if ranked.chunks <= 1 and chunk_rows <= MAX_BROADCAST_ROWS:  # counted: at most chunk_rows
+        adjusted = F.broadcast(adjusted)
+    joined = have.join(adjusted, ["_grp", "_val"], "left").select(*df.columns, *columns)
     missing = df.filter(F.col(p).isNull()).withColumns(
         {n: F.lit(None).cast("double") for n in columns})
     return joined.unionByName(missing)
