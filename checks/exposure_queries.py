@@ -155,7 +155,7 @@ select * replace (case exposure_id when 'click' then 'pm25_dust' when 'error' th
 from v_exposure_daily"""
 _MONTHLY = """
 select geo_id, geo_type, exposure_id, cast(date_trunc('month', obs_date) as date) as ym,
-  round({scale} * avg(value), 6) as mean, round({scale} * sum(value), 6) as sum,
+  round({scale} * avg(value), 8) as mean, round({scale} * sum(value), 6) as sum,
   {scale} * max(value) as max, count(value) as days_available,
   {days}, round({scale} * quantile_cont(value, 0.9), 5) as p90
 from named where {where} group by 1, 2, 3, 4"""
@@ -190,7 +190,7 @@ def daily_monthly_metrics(spark, sf):
     monthly = exposures.monthly_metrics(named)
     scale = F.when(kind == "pm25_dust", 1e9).otherwise(1.0)
     return monthly.withColumns({
-        **{c: F.round(scale * F.col(c), 6) for c in ("mean", "sum")},
+        "mean": F.round(scale * F.col("mean"), 8), "sum": F.round(scale * F.col("sum"), 6),
         "p90": F.round(scale * F.col("p90"), 5),
         "max": scale * F.col("max")})
 

@@ -88,7 +88,7 @@ def padded_zip(spark, sf):
 
 
 @query("partitioned_sink", with_tables("""
-select year, count(*) as n, sum(n_visits) as n_visits from person_month
+select year, count(*) as n, cast(sum(n_visits) as bigint) as n_visits from person_month
 where year >= 1997 group by year""", "person_month"))
 def partitioned_sink(spark, sf):
     """Cohort written by year and read back; the year filter prunes folders."""
