@@ -13,7 +13,7 @@ from ..config import FEATURES, MODEL_SPECS, Feature, ModelSpec
 from ..functions import effects
 from ..operators.cohort import flag_columns
 from ..operators.ranks import adjust_p
-from ..operators.rollup import attach_rollup
+from ..operators.rollup import attach_rollup, available_features
 from ..session import scratch_table
 from . import design, irls
 
@@ -201,3 +201,17 @@ def scan(months: DataFrame, rollup: DataFrame, *, specs: Sequence[ModelSpec] = M
     exposures = [e for e in dict.fromkeys(known) if e in found]
     wide = attach_rollup(months, rollup, exposures)
     return adjusted(fit_models(wide, exposures, flag_columns(months), specs, gate))
+
+
+def scan_joined(person_exposures: DataFrame, *, specs: Sequence[ModelSpec] = MODEL_SPECS,
+                features: tuple[Feature, ...] = FEATURES,
+                gate: irls.Gate = irls.Gate()) -> DataFrame:
+    """The same scan from person-months that already carry exposure columns.
+
+    Skips the long rollup and its join back: the only shuffle of person-months
+    is the pattern aggregate.
+    """
+    names = available_features(person_exposures.columns, features)
+    wide = (person_exposures.withColumnsRenamed(names)
+            .withColumn("year", F.col("year").cast("int")))
+    return adjusted(fit_models(wide, list(names.values()), flag_columns(wide), specs, gate))

@@ -6,7 +6,7 @@ from checks.registry import ORACLES, QUERIES
 from checks.views import view
 from __spark_entry__ import entry
 from plumeline.config import select_specs
-from plumeline.exwas import irls
+from plumeline.exwas import irls, scan
 from plumeline.operators import harmonize
 from plumeline.plans import quality, study
 from plumeline.sources import bronze, tables
@@ -40,6 +40,21 @@ def test_stages_write_their_tables(finished):
     assert quality.test_summary(results).agg(F.sum("n_tests")).first()[0] == results.count()
 
 
+def test_scan_over_the_rollup_gives_the_same_results(finished):
+    direct = finished.table("gold/exwas_result")
+    spec = select_specs("overall")[:1]
+    rolled = scan.scan(finished.table("gold/person_month"), finished.table("gold/exposure_rollup"),
+                       specs=spec, gate=finished.gate)
+    def keyed(df):
+        return {(r.exposure_id, r.outcome): r for r in df.filter(
+            F.col("model_spec_id") == spec[0].id).collect()}
+    a, b = keyed(direct), keyed(rolled)
+    assert a.keys() == b.keys() and a
+    for key in a:
+        assert a[key].n == b[key].n and a[key].estimate == pytest.approx(b[key].estimate, abs=1e-9)
+        assert a[key].p_adj_fdr == pytest.approx(b[key].p_adj_fdr, abs=1e-9)
+
+
 def test_rerun_replaces_tables(finished):
     before = finished.table("silver/person").count()
     study.run(finished, ["silver"])
