@@ -206,3 +206,26 @@ def test_quality_of_empty_tables(spark):
     flagged = cohort.person_month(cohort.add_phenotypes(empty))
     assert quality.prevalence(flagged).count() == 8
     assert quality.cohort_summary(flagged).first().avg_visits is None
+
+
+RESULT = ("outcome string, exposure_id string, model_spec_id string, strata string, n long, "
+          "n_cases long, odds_ratio double, or_ci_low double, or_ci_high double, p_value double, "
+          "q_value double")
+
+
+def test_result_views(spark):
+    results = spark.createDataFrame([
+        ("a_flag", "pm25_dust", "m1", "all", 200, 20, 1.5, 1.1, 2.0, 0.001, 0.01),
+        ("b_flag", "pm25_dust", "m1", "all", 200, 30, 0.9, 0.5, 1.5, 0.4, 0.6),
+        ("a_flag", "unknown", "m2", "male", 100, 15, 1.0, 0.8, 1.2, 0.0, 0.0)], RESULT)
+    hits = rows(explore.formatted_hits(results, 2))
+    assert [(h[1], h[3], h[5]) for h in hits] == [
+        ("m2", None, "1.00 (0.80-1.20)"),
+        ("m1", "Dust surface mass concentration, particles <2.5 μm (kg m⁻³)", "1.50 (1.10-2.00)")]
+    kept = explore.filter_results(results, model_spec_id="m1", outcome="all", q_max=0.1)
+    assert rows(kept.select("label", "significant")) == [("pm25_dust → a_flag", True)]
+    assert explore.filter_results(results, outcome="b_flag").count() == 1
+    assert explore.filter_results(results, p_max=0.0).first().log10_p is None
+    shown = explore.result_table(results)
+    assert [r.p_value for r in shown.collect()] == ["0.00e+00", "1.00e-03", "4.00e-01"]
+    assert rows(quality.results_by_outcome(results)) == [("a_flag", 2, 2), ("b_flag", 1, 0)]
