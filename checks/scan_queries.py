@@ -311,11 +311,27 @@ query("legacy_adjusted_scan", _fit_sql("g", _fit_tables(
     _compare_fits(LEGACY_MODEL_SPECS[1:2], gate=irls.TwoClassGate()))
 
 
-@query("full_scan")
+_EVERY = {
+    "dummies": _DUMMIES.format(db=_DB),
+    **_fit_tables("u", "logit_unadjusted", [], _ALL_STRATA, inputs.EXPOSURES, OUTCOMES),
+    **_fit_tables("t", "logit_adjusted_temporal", _TEMPORAL, _ALL_STRATA, inputs.EXPOSURES,
+                  OUTCOMES),
+    **_fit_tables("f", "logit_adjusted_full", _FULL_ONE_SEX, _ALL_STRATA[1:], inputs.EXPOSURES,
+                  OUTCOMES),
+    **_fit_tables("o", "logit_adjusted_full", _FULL, _ALL_STRATA[:1], inputs.EXPOSURES, OUTCOMES),
+    "every_result": " union all ".join(f"select * from {t}_result" for t in "utfo"),
+    "tested": _with_p("every_result"), "scanned": _ADJUSTED["scanned"]}
+
+
+@query("full_scan", with_tables(
+    f"select {_KEYS}, {_six('estimate', 'se', 'z_value', 'odds_ratio', 'or_ci_low', 'or_ci_high', 'p_value', 'p_adj_fdr', 'p_adj_bonferroni')} from scanned",
+    "scan_input", extra=_EVERY))
 def full_scan(spark, sf):
-    """All nine models together; each part has its own SQL comparison."""
+    """All nine models in all strata, with corrections."""
     fits = scan.fit_models(inputs.scan_input(spark, sf), inputs.EXPOSURES, OUTCOMES)
-    return _round6(scan.adjusted(fits))
+    return _round6(scan.adjusted(fits)).select(
+        *_KEY_LIST, "estimate", "se", "z_value", "odds_ratio", "or_ci_low", "or_ci_high",
+        "p_value", "p_adj_fdr", "p_adj_bonferroni")
 
 
 @query("asthma_scan", with_tables("""
