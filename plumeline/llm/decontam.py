@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .text import lower_ascii, whole
+from .text import LOWER, UPPER, lower_ascii, whole
 
 WINDOW = 10
 # A larger set of windows is joined by a shuffle instead.
-MAX_SET = 100_000
+MAX_SET = 50_000
 _GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _HITS = "array<struct<start:int,n:int>>"
 
@@ -52,43 +52,36 @@ def window_text(words: Column, start: Column, n: Column) -> Column:
     return lower_ascii(F.array_join(F.slice(words, start + 1, n), " "))
 
 
-def _window_hash(words: Column, start: Column, n: int) -> Column:
-    return F.xxhash64(*[F.lower(F.get(words, start + k)) for k in range(n)])
-
-
 def _hash_of_split(column: str) -> Column:
-    """The hash that a row's window gets, from the window's own text.
-
-    A fold over the words chains the hashes as the call with all words does.
-    """
+    """The hash that a document's window gets, from the window's own text."""
     return F.expr(f"xxhash64(transform(split({column}, ' ', -1), w -> lower(w)))")
 
 
-def _proposed(windows: list, words: Column) -> Column:
-    """Hits of the set in the row: array of (start, n), by anchor, hash and then text.
+def _proposed(windows: list) -> Column:
+    """Hits of the set in ``_words``: array of (start, n), by anchor, hash and then text.
 
     Anchors and hashes fold the case of all letters, which can only add
-    proposals; the last filter compares the exact text of each.
+    proposals; the last filter compares the exact text of each.  Written as
+    SQL text because a set of thousands of literals is parsed in one go.
     """
-    by_length: dict[int, tuple[set, set]] = {}
+    by_length: dict[int, list] = {}
     for row in windows:
-        anchors, hashes = by_length.setdefault(row.n, (set(), set()))
-        anchors.add(row.anchor_hash)
-        hashes.add(row.window_hash)
-    texts = [row.window_text for row in windows]
-    size = F.size(words)
-
-    def hits(n: int, anchors: set, hashes: set) -> Column:
-        marked = F.transform(words, lambda w, i: F.when(
-            F.xxhash64(F.lower(w)).isin(list(anchors)), i).otherwise(F.lit(-1)))
-        near = F.transform(F.filter(marked, lambda i: i >= 0), lambda i: F.filter(
-            F.sequence(i - (n - 1), i), lambda s: (s >= 0) & (s <= size - n)))
-        likely = F.filter(F.array_distinct(F.flatten(near)),
-                          lambda s: _window_hash(words, s, n).isin(list(hashes)))
-        same = F.filter(likely, lambda s: window_text(words, s, F.lit(n)).isin(texts))
-        return F.transform(same, lambda s: F.struct(s.alias("start"), F.lit(n).alias("n")))
-
-    each = [hits(n, *sets) for n, sets in sorted(by_length.items())]
+        by_length.setdefault(row.n, []).append(row)
+
+    def hits(n: int, rows: list) -> str:
+        anchors, hashes = ({str(r[k]) for r in rows} for k in ("anchor_hash", "window_hash"))
+        # Words hold no quote and no backslash: those separate words.
+        texts = ", ".join(f"'{r.window_text}'" for r in rows)
+        marked = (f"transform(_words, (w, i) -> if(xxhash64(lower(w)) IN ({', '.join(anchors)}), i, -1))")
+        near = (f"transform(filter({marked}, i -> i >= 0), i -> filter(sequence(i - {n - 1}, i), "
+                f"s -> s >= 0 AND s <= size(_words) - {n}))")
+        window = f"transform(slice(_words, s + 1, {n}), w -> lower(w))"
+        likely = f"filter(array_distinct(flatten({near})), s -> xxhash64({window}) IN ({', '.join(hashes)}))"
+        text = f"translate(array_join(slice(_words, s + 1, {n}), ' '), '{UPPER}', '{LOWER}')"
+        return (f"transform(filter({likely}, s -> {text} IN ({texts})), "
+                f"s -> named_struct('start', s, 'n', {n}))")
+
+    each = [F.expr(hits(n, rows)) for n, rows in sorted(by_length.items())]
     return F.concat(F.array().cast(_HITS), *each)
 
 
@@ -109,7 +102,7 @@ def _with_hits(df: DataFrame, windows: DataFrame, small: bool) -> DataFrame:
     collected = windows.select(
         "window_text", "n", F.xxhash64(F.lower("anchor")).alias("anchor_hash"),
         _hash_of_split("window_text").alias("window_hash")).collect()
-    return df.withColumn("_at", _proposed(collected, words))
+    return df.withColumn("_at", _proposed(collected))
 
 
 def find_hits(df: DataFrame, benchmark: DataFrame, keep: dict[str, Column], *, text: str = "text",

@@ -66,3 +66,67 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT rejected AS kept
 FROM f JOIN v ON f.source IS NOT DISTINCT FROM v.source
 """
+
+
+def _secrets_sql() -> str:
+    """Spans by splitting at matches, entropies by counting every window anew."""
+    kinds = {
+        "assign": (0, r"(?i:(password|passwd|secret|token|api_?key))[""" + '"' + r"'']?\x20*[:=]\x20*["
+                   + '"' + r"'']?([A-Za-z0-9+/_.=-]+)"),
+        "access": (1, r"AKIA[A-Z0-9]+"), "hex": (2, r"[0-9a-f]+"),
+        "entropy_hex": (3, r"[0-9a-fA-F]{20,}"), "entropy_base64": (4, r"[A-Za-z0-9+/_=-]{20,}"),
+    }
+    placed = " UNION ALL ".join(f"""
+      SELECT doc_id, '{kind}' AS kind, {rank} AS rank, k, found,
+        before + coalesce(sum(length(found)) OVER (PARTITION BY doc_id ORDER BY k
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM (SELECT doc_id, k, found, sum(length(piece)) OVER (
+              PARTITION BY doc_id ORDER BY k) AS before
+            FROM (SELECT doc_id, unnest(range(1, len(f) + 1)) AS k, unnest(f) AS found,
+                    unnest(p[1:len(f)]) AS piece
+                  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS f,
+                          string_split_regex(t, '{pattern}') AS p FROM d)))"""
+                               for kind, (rank, pattern) in kinds.items())
+    repeated = "|".join(f"{c}{{8}}" if c.isalnum() else f"[{c}]{{8}}" for c in
+                        "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-")
+    harmless = ("(?i)example|placeholder|dummy|changeme|your[_-]",
+                "0123456789|12345678|abcdefgh|ABCDEFGH", repeated,
+                "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
+                "//|^/?(?:[a-z0-9_-]+/){2,}")
+    excused = " OR ".join(f"regexp_matches(found, '{h}')" for h in harmless)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({placed}),
+base AS (SELECT doc_id, start, rank, start + length(found) AS stop, kind FROM m
+  WHERE kind = 'assign' AND length(regexp_extract(found, '{kinds["assign"][1]}', 2)) >= 8
+    OR kind = 'access' AND length(found) >= 16 OR kind = 'hex' AND length(found) >= 32),
+runs AS (SELECT * FROM m WHERE rank >= 3 AND NOT ({excused}) AND regexp_matches(found, '[0-9]')
+  AND (rank <> 3 OR regexp_matches(found, '[a-fA-F]'))
+  AND (rank <> 4 OR (regexp_matches(found, '[A-Z]') AND regexp_matches(found, '[a-z]')))),
+cut AS (SELECT doc_id, kind, rank, k, start, i, substr(found, i + 1, 20) AS win FROM (
+  SELECT *, unnest(range(0, length(found) - 19)) AS i FROM runs)),
+symbols AS (SELECT doc_id, kind, k, i, c, count(*) AS n FROM (
+  SELECT doc_id, kind, k, i, unnest(string_split(win, '')) AS c FROM cut) GROUP BY ALL),
+sums AS (SELECT doc_id, kind, k, i, sum(CAST(round(n * log2(n) * 1000000) AS BIGINT)) AS s
+  FROM symbols GROUP BY ALL),
+hot AS (SELECT doc_id, kind, rank, k, start, i FROM cut JOIN sums USING (doc_id, kind, k, i)
+  WHERE s <= CAST(floor((log2(20) - CASE rank WHEN 3 THEN 3.0 ELSE 3.9 END) * 20 * 1000000) AS BIGINT)),
+marked AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id, kind, k ORDER BY i) + 20
+  THEN 0 ELSE 1 END AS fresh FROM hot),
+island AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, kind, k ORDER BY i) AS g FROM marked),
+more AS (SELECT doc_id, start + min(i) AS start, rank, start + max(i) + 20 AS stop, kind
+  FROM island GROUP BY doc_id, kind, rank, k, start, g),
+spans AS (SELECT *, rank < 3 AS is_base, concat_ws(':', kind, CAST(start AS BIGINT), CAST(stop AS BIGINT)) AS label
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM more)),
+byd AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign,
+  count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(label, ',' ORDER BY start, rank, stop) FILTER (is_base) AS base,
+  string_agg(label, ',' ORDER BY start, rank, stop) AS spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM d LEFT JOIN byd USING (doc_id)
+"""
+
+
+ORACLES["op1_secrets"] = _secrets_sql()
