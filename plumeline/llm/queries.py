@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, quality, secrets
+from . import decontam, quality, secrets, simhash
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,14 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("spans")).alias("spans"))
 
 
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: fingerprint and component of near duplicates."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                        "component_id")
+
+
 @query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, words inside benchmark windows, items found."""

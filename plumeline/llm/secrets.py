@@ -165,12 +165,11 @@ def _suspicious_windows(symbols: Column, length: Column, cls: EntropyClass) -> C
 def entropy_spans(text: Column, classes: tuple[EntropyClass, ...] = CLASSES,
                   allowed: tuple[str, ...] = ALLOWED) -> Column:
     """Spans of suspicious windows in runs of each class that no allow-list entry excuses."""
-    out = []
-    for cls in classes:
+    def of(cls: EntropyClass) -> Column:
         inside = "[" + cls.alphabet.replace("-", r"\-") + "]"
         runs = _located(text, f"(?<!{inside}){inside}{{{cls.window},}}+")
 
-        def suspicious(m: Column, cls: EntropyClass = cls) -> Column:
+        def suspicious(m: Column) -> Column:
             test = F.lit(True)
             for needed in cls.needs:
                 test = test & m["found"].rlike(needed)
@@ -178,12 +177,13 @@ def entropy_spans(text: Column, classes: tuple[EntropyClass, ...] = CLASSES,
                 test = test & ~m["found"].rlike(harmless)
             return test
 
-        def placed(m: Column, cls: EntropyClass = cls) -> Column:
+        def placed(m: Column) -> Column:
             return F.transform(_windows(m["found"], cls), lambda p: _span(
                 cls.kind, m["start"] + p["start"], m["start"] + p["end"]))
 
-        out.append(F.flatten(F.transform(F.filter(runs, suspicious), placed)))
-    return F.concat(_no_spans(), *out)
+        return F.flatten(F.transform(F.filter(runs, suspicious), placed))
+
+    return F.concat(_no_spans(), *[of(cls) for cls in classes])
 
 
 def find_secrets(df: DataFrame, keep: dict[str, Column], *, text: str = "text") -> DataFrame:
