@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, quality, secrets, simhash
+from . import decontam, quality, secrets, sharding, simhash
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: size, checksum, shard and slot, under the law `rows`."""
+    placed = sharding.shard_rows(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
