@@ -130,3 +130,19 @@ FROM d LEFT JOIN byd USING (doc_id)
 
 
 ORACLES["op1_secrets"] = _secrets_sql()
+
+# DuckDB has no base32; the 160 bits are cut into 32 groups of five.
+ORACLES["op7_warc"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, h,
+  list_reduce(list_transform(string_split(sha1(h), ''), lambda x: lpad(bin(
+    instr('0123456789abcdef', x) - 1), 4, '0')), lambda a, b: a || b) AS bits FROM p),
+b AS (SELECT *, list_reduce(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+    + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+    + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)), lambda a, b: a || b) AS payload_digest,
+  max(page_id) OVER (PARTITION BY h) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to FROM b
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, quality, secrets, sharding, simhash
+from . import decontam, quality, secrets, sharding, simhash, warc
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,15 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: what its archived record says once read back."""
+    records = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    number = lambda c: F.expr(f"try_cast({c} AS BIGINT)")
+    return records.select(number("page_id").alias("page_id"), "payload_bytes", "payload_digest",
+                          "record_type", number("refers_to").alias("refers_to"))
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: size, checksum, shard and slot, under the law `rows`."""
