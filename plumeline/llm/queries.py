@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, quality, secrets, sharding, simhash, warc
+from . import decontam, dedup_substrings, quality, secrets, sharding, simhash, warc
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,6 +72,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "record_type", number("refers_to").alias("refers_to"))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: bytes, bytes removed, runs removed, digest of what is kept."""
+    docs = table(spark, sf_dir, "documents")
+    return dedup_substrings.remove_repeats(docs, {"doc_id": F.col("doc_id")})
+
+
 @query
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: size, checksum, shard and slot, under the law `rows`."""
