@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, dedup_substrings, quality, secrets, sharding, simhash, warc
+from . import decontam, dedup_substrings, pieces, quality, secrets, sharding, simhash, warc
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.size("hit_words") > 0).alias("contaminated"))
 
 
+@query
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: best segmentation, scores of the four best, round trip."""
+    return pieces.segment(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: rule counts, hard failures and the verdict with its host's."""
