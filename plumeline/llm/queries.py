@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, dedup_substrings, pieces, quality, secrets, sharding, simhash, warc
+from . import decontam, dedup_substrings, html, pieces, quality, secrets, sharding, simhash, warc
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,13 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.listed(F.col("spans")).alias("spans"))
 
 
+@query
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its main text and the number of code points in it."""
+    found = html.extract(table(spark, sf_dir, "pages"), {"page_id": F.col("page_id"), "url": F.col("url")})
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: fingerprint and component of near duplicates."""
