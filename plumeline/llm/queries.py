@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontam, dedup_substrings, html, pieces, quality, secrets, sharding, simhash, warc
+from . import classifier, decontam, dedup_substrings, html, pieces, quality, secrets, sharding, simhash, warc
 from .oracles import ORACLES  # noqa: F401
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_rows(table(spark, sf_dir, "documents"), {"doc_id": F.col("doc_id")})
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: probabilities of quality and toxicity and whether it is kept."""
+    found = classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                {"doc_id": F.col("doc_id")})
+    return found.select(
+        "doc_id", "p_quality", "p_toxic", F.col("host_quality").alias("host_rate"),
+        F.col("path_quality").alias("path_rate"), (F.col("p_toxic") >= 0.5).alias("toxic"),
+        ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept"))
