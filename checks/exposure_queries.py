@@ -218,9 +218,9 @@ def exposure_range_stats(spark, sf):
 select exposure_id, round(quantile_cont(value, 0.5), 8) as median_val
 from v_exposure_daily group by 1""", "v_exposure_daily"))
 def chunked_median(spark, sf):
-    """The two-level quantile used for groups too large for one task."""
+    """The same quantile with another number of ranges."""
     return ranks.grouped_quantile(inputs.daily(spark, sf), ["exposure_id"], "value", 0.5,
-                                  alias="median_val", hot_rows=0, chunk_rows=500).withColumn(
+                                  alias="median_val", ranges=7).withColumn(
         "median_val", F.round("median_val", 8))
 
 
@@ -235,8 +235,9 @@ def exposure_calendar(spark, sf):
 @query("exposure_histogram", with_tables("""
 select exposure_id, bin, count(*) as n, round(any_value(lo + w * bin), 8) as bin_centre
 from (select *, cast(ceil((value - lo) / w - 0.5) as int) as bin from (
-  select *, min(value) over () as lo, (max(value) over () - min(value) over ()) / 29 as w
-  from v_exposure_daily where value is not null))
+  select *, min(value) over g as lo, case when max(value) over g > min(value) over g
+    then (max(value) over g - min(value) over g) / 29 else 0.1 end as w
+  from v_exposure_daily where value is not null window g as (partition by exposure_id)))
 group by 1, 2""", "v_exposure_daily"))
 def exposure_histogram(spark, sf):
     return explore.histogram(inputs.daily(spark, sf), "value", ["exposure_id"]).withColumn(

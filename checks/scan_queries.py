@@ -47,9 +47,9 @@ def fdr_adjust(spark, sf):
 @query("chunked_fdr_adjust", with_tables(
     _BH.format(group="model_spec_id", fdr="p_adj_fdr", more=""), "v_pvalue"))
 def chunked_fdr_adjust(spark, sf):
-    """The two-level adjustment used beyond a million p-values."""
+    """The same adjustment with another number of ranges."""
     return _rounded(ranks.adjust_p(view(spark, sf, "v_pvalue"), ["model_spec_id"],
-                                   bonferroni=None, chunk_rows=200), "p_adj_fdr")
+                                   bonferroni=None, ranges=5), "p_adj_fdr")
 
 
 @query("bonferroni_adjust", with_tables("""
@@ -58,8 +58,8 @@ select test_id, model_spec_id, p_value,
     + case when p_value is null then null else 0 end, 9) as p_adj_bonferroni
 from v_pvalue""", "v_pvalue"))
 def bonferroni_adjust(spark, sf):
-    return _rounded(ranks.adjust_p(view(spark, sf, "v_pvalue"), ["model_spec_id"]).drop(
-        "p_adj_fdr"), "p_adj_bonferroni")
+    return _rounded(ranks.bonferroni(view(spark, sf, "v_pvalue"), ["model_spec_id"]),
+                    "p_adj_bonferroni")
 
 
 @query("outcome_adjust", with_tables(

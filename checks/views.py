@@ -1,7 +1,11 @@
 """Adapter views: the study's input tables derived from the driver tables.
 
-The text runs unchanged in Spark SQL and in DuckDB, so a query and the SQL it
-is compared with share their input and nothing else.
+A query and the SQL it is compared with share this input and nothing else.  Most
+text runs unchanged in both engines; `v_exposure` has a Spark form of its own
+with one aggregate.  Missing exposures are NULL in the SQL and NaN in Spark, as
+files from other tools have them, so every reader of the views must treat the
+two alike.  Dust is higher in odd nations and so is asthma, which gives the
+association scan something to find.
 """
 
 from __future__ import annotations
@@ -16,10 +20,10 @@ VIEWS["v_visit"] = """
 select o_orderkey as visit_id, o_custkey as person_key,
   cast(year(o_orderdate) as int) as src_year,
   cast(month(o_orderdate) as int) as src_month,
-  case o_orderkey % 12
+  case when c_nationkey % 2 = 1 and o_orderkey % 4 = 2 then 'J459' else case o_orderkey % 12
     when 0 then '49390' when 1 then 'J459' when 2 then '4911' when 3 then 'J449'
     when 4 then '486' when 5 then 'J189' when 6 then '41401' when 7 then 'I639'
-    when 8 then 'E119' when 9 then '650' when 10 then 'F329' else null end as dx1,
+    when 8 then 'E119' when 9 then '650' when 10 then 'F329' else null end end as dx1,
   case when o_orderkey % 5 = 0 then 'V22' else null end as dx2,
   case when o_orderkey % 7 < 3 then 'SID' when o_orderkey % 7 < 5 then 'SEDD'
     else 'SASD' end as db_type,
@@ -40,7 +44,8 @@ with g as (
     cast(sum(cast(round(l_discount * 100) as bigint)) as double) / (count(*) * 100) as a,
     cast(sum(cast(round(l_tax * 100) as bigint)) as double) / (count(*) * 100) as b,
     max(l_tax) as c,
-    cast(sum(cast(round(l_quantity) as bigint)) as double) / (count(*) * 1000) as d,
+    cast(sum(cast(round(l_quantity) as bigint)) as double) / (count(*) * 1000)
+      + (s_nationkey % 2) * cast(0.05 as double) as d,
     max(l_extendedprice) as e, max(l_quantity) as f, min(l_quantity) as h
   from lineitem join supplier on l_suppkey = s_suppkey
   where s_nationkey <> 24
@@ -50,7 +55,8 @@ union all select geoid, year, month, 'prop_med_coverage', b from g
 union all select geoid, year, month, 'prop_heavy_coverage', c from g
 union all select geoid, year, month, 'dusmass25', d from g
 union all select geoid, year, month, 'bcsmass', e from g
-union all select geoid, year, month, 'tmax', f from g
+union all select geoid, year, month, 'tmax',
+  case when month = 7 and geoid like '%3' then null else f end from g
 union all select geoid, year, month, 'tmin', h from g
 union all select geoid, 'annual', month, 'tmax', f from g where year = '1996'
 union all select geoid, year, month, 'not_wanted', h from g"""
@@ -93,7 +99,10 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = VIEWS[name]
     for table in tables:
         sql = re.sub(rf"\b(from|join) {table}\b", rf"\1 {{{table}}}", sql)
-    return spark.sql(sql, **tables)
+    made = spark.sql(sql, **tables)
+    if name == "v_exposure_daily":
+        made = made.withColumn("value", F.coalesce("value", F.lit(float("nan"))))
+    return made
 
 
 def _exposure_view(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
@@ -107,7 +116,7 @@ def _exposure_view(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
         "prop_light_coverage": hundredths("l_discount", 100, 100),
         "prop_med_coverage": hundredths("l_tax", 100, 100),
         "prop_heavy_coverage": F.max("l_tax"),
-        "dusmass25": hundredths("l_quantity", 1, 1000),
+        "dusmass25": hundredths("l_quantity", 1, 1000) + (F.first("s_nationkey") % 2) * F.lit(0.05),
         "bcsmass": F.max("l_extendedprice"), "tmax": F.max("l_quantity"),
         "tmin": F.min("l_quantity")}
     grouped = (lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -120,7 +129,9 @@ def _exposure_view(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
         return F.struct(year.alias("year"), F.lit(variable).alias("variable"),
                         F.col(value).alias("value"))
 
-    rows = [*[row(v, v) for v in cells], row("not_wanted", "tmin")]
+    lost = (F.col("month") == 7) & (F.col("s_nationkey") % 10 == 3)
+    grouped = grouped.withColumn("gaps", F.when(lost, F.lit(float("nan"))).otherwise(F.col("tmax")))
+    rows = [*[row(v, "gaps" if v == "tmax" else v) for v in cells], row("not_wanted", "tmin")]
     annual = F.when(F.col("year") == "1996", F.array(row("tmax", "tmax", F.lit("annual"))))
     return grouped.select(
         F.lpad((84000 + F.col("s_nationkey")).cast("string"), 5, "0").alias("geoid"), "month",

@@ -176,7 +176,7 @@ MODEL_SPECS: tuple[ModelSpec, ...] = (
 
 # The earlier model set, where year and month are both numeric.
 # Its third entry also names a covariate that no data set carries, so it is
-# refused when it is used (see ``exwas.design.check_spec``).
+# reported and left out when it is used (see ``exwas.design.usable_specs``).
 LEGACY_MODEL_SPECS: tuple[ModelSpec, ...] = (
     ModelSpec("logit_unadjusted", description="Unadjusted logistic regression"),
     ModelSpec("logit_adjusted_basic", covariates=("year", "month"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -9,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import ModelSpec
 
-MAX_FACTOR_LEVELS = 100
 STRATA: dict[str, float | None] = {"all": None, "male": 0.0, "female": 1.0}
 
 
@@ -19,12 +19,26 @@ def stratum_filter(df: DataFrame, stratum: str) -> DataFrame:
     return df if sex is None else df.filter(F.col("female") == sex)
 
 
-def check_spec(df: DataFrame, spec: ModelSpec) -> None:
+def problem_of(df: DataFrame, spec: ModelSpec) -> str | None:
+    """Why a spec cannot be fitted on ``df``, if it cannot."""
     absent = [c for c in spec.covariates if c not in df.columns]
     if absent:
-        raise ValueError(f"model {spec.id} needs missing columns {absent}")
+        return f"model {spec.id} needs missing columns {absent}"
     if spec.strata not in STRATA:
-        raise ValueError(f"model {spec.id} has unknown stratum {spec.strata!r}")
+        return f"model {spec.id} has unknown stratum {spec.strata!r}"
+    return None
+
+
+def usable_specs(df: DataFrame, specs: Sequence[ModelSpec]) -> list[ModelSpec]:
+    """The specs that ``df`` can serve; the others are reported and give no rows."""
+    problems = {s.id: problem_of(df, s) for s in specs}
+    usable = [s for s in specs if problems[s.id] is None]
+    told = "; ".join(p for p in problems.values() if p)
+    if not usable:
+        raise ValueError(f"no model can be fitted: {told or 'none is given'}")
+    if told:
+        warnings.warn(f"left out: {told}", stacklevel=3)
+    return usable
 
 
 def is_factor(df: DataFrame, spec: ModelSpec, name: str) -> bool:
@@ -32,11 +46,9 @@ def is_factor(df: DataFrame, spec: ModelSpec, name: str) -> bool:
 
 
 def factor_levels(df: DataFrame, name: str) -> list[str]:
-    """Sorted levels of a categorical covariate, refused if there are too many."""
+    """Sorted levels of a categorical covariate; they become columns of the design."""
     rows = (df.select(F.col(name).cast("string").alias("level")).distinct()
-            .filter(F.col("level").isNotNull()).limit(MAX_FACTOR_LEVELS + 1).collect())
-    if len(rows) > MAX_FACTOR_LEVELS:
-        raise ValueError(f"{name} has more than {MAX_FACTOR_LEVELS} levels")
+            .filter(F.col("level").isNotNull()).collect())
     return sorted(r.level for r in rows)
 
 

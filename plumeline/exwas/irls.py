@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .design import STRATA, Design
 
@@ -47,6 +47,10 @@ class Gate:
     def admits(self, n: float, cases: float) -> bool:
         return n >= self.min_rows and self.min_cases <= cases < n - self.min_cases
 
+    def admits_column(self, n: Column, cases: Column) -> Column:
+        """The same rule on columns."""
+        return (n >= self.min_rows) & (cases >= self.min_cases) & (cases < n - self.min_cases)
+
 
 @dataclass(frozen=True)
 class TwoClassGate(Gate):
@@ -57,6 +61,9 @@ class TwoClassGate(Gate):
     def admits(self, n: float, cases: float) -> bool:
         return n >= self.min_rows and 0 < cases < n
 
+    def admits_column(self, n: Column, cases: Column) -> Column:
+        return (n >= self.min_rows) & (cases > 0) & (cases < n)
+
 
 @dataclass
 class Fit:
@@ -231,17 +238,24 @@ def _as_batch(sums: dict[int, np.ndarray], ends: dict[int, tuple[float, float]])
 
 
 def _collect_sums(tables: dict, fits: Sequence[Fit], kernel, slots_of) -> dict[int, tuple]:
-    """One distributed pass over every pattern table that still has open fits."""
-    slots = max(slots_of(f.design.width) for f in fits)
-    partial: DataFrame | None = None
+    """One distributed pass over every pattern table that still has open fits.
+
+    Fits of one design width are summed together, so that no narrow model
+    carries the numbers of a wide one through the shuffle.
+    """
+    sums: DataFrame | None = None
+    widths: dict[int, DataFrame] = {}
     for covariates, (patterns, layout) in tables.items():
         mine = [f for f in fits if f.design.spec.id in covariates]
-        if mine:
-            part = patterns.mapInArrow(kernel(mine, layout, slots), _SUMS_SCHEMA)
-            partial = part if partial is None else partial.union(part)
-    summed = partial.groupBy("fit").agg(
-        F.min("low"), F.max("high"), Summarizer.sum(array_to_vector("sums")))
-    return {r[0]: (r[1], r[2], r[3].toArray()) for r in summed.collect()}
+        for width in {f.design.width for f in mine}:
+            alike = [f for f in mine if f.design.width == width]
+            part = patterns.mapInArrow(kernel(alike, layout, slots_of(width)), _SUMS_SCHEMA)
+            widths[width] = widths[width].union(part) if width in widths else part
+    for part in widths.values():
+        summed = part.groupBy("fit").agg(F.min("low").alias("low"), F.max("high").alias("high"),
+                                         Summarizer.sum(array_to_vector("sums")).alias("sums"))
+        sums = summed if sums is None else sums.union(summed)
+    return {r[0]: (r[1], r[2], r[3].toArray()) for r in sums.collect()}
 
 
 def fit_all(tables: dict, fits: Sequence[Fit], gate: Gate) -> list[Fit]:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import FEATURES, MODEL_SPECS, Feature, ModelSpec
 from ..functions import effects
+from ..functions.missing import nan_to_null
 from ..operators.cohort import flag_columns
 from ..operators.ranks import adjust_p
 from ..operators.rollup import attach_rollup, available_features
@@ -54,6 +55,7 @@ def eligibility(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[st
                 specs: Sequence[ModelSpec] = MODEL_SPECS, gate: irls.Gate = irls.Gate()) -> DataFrame:
     """Rows, cases, exposure mean and spread of each test, and whether it is fitted."""
     strata = sorted({s.strata for s in specs})
+    wide = nan_to_null(wide.select("female", *exposures, *outcomes))
     tests = (wide.select("female", *exposures, *outcomes)
              .unpivot(["female", *outcomes], list(exposures), "exposure_id", "value")
              .filter(F.col("value").isNotNull())
@@ -75,17 +77,12 @@ def eligibility(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[st
     flat = (tests.filter(inside).groupBy("strata", "exposure_id")
             .agg(F.array(*sums).alias("tests"))
             .select("strata", "exposure_id", F.inline("tests")))
-    if type(gate) is irls.TwoClassGate:
-        fits = (F.col("n") >= gate.min_rows) & F.col("n_cases").between(1, F.col("n") - 1)
-    else:
-        fits = ((F.col("n") >= gate.min_rows) & (F.col("n_cases") >= gate.min_cases)
-                & (F.col("n_cases") < F.col("n") - gate.min_cases))
-    return flat.withColumn("eligible", fits)
+    return flat.withColumn("eligible", gate.admits_column(F.col("n"), F.col("n_cases")))
 
 
 def standardized(wide: DataFrame, exposure: str, outcome: str, stratum: str = "all") -> DataFrame:
     """Exposure z-scores over the rows one test uses, joined as two constants."""
-    rows = (design.stratum_filter(wide, stratum)
+    rows = (design.stratum_filter(nan_to_null(wide), stratum)
             .filter(F.col(outcome).isNotNull() & F.col(exposure).isNotNull()))
     mean, sd = rows.agg(F.avg(exposure), F.stddev_samp(exposure)).first()
     z = (F.col(exposure) - F.lit(mean)) / F.when(F.lit(sd) > 0, F.lit(sd))
@@ -100,11 +97,6 @@ def _centres(patterns: DataFrame, names: Sequence[str]) -> dict[str, tuple[float
     return {n: (row[2 * i] or 0.0, row[2 * i + 1] or 1.0) for i, n in enumerate(names)}
 
 
-def _spread_out(df: DataFrame) -> DataFrame:
-    """Even partitions, one per core: the passes are bound by arithmetic."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-
 def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str],
                specs: Sequence[ModelSpec] = MODEL_SPECS, gate: irls.Gate = irls.Gate()) -> DataFrame:
     """Fit every test and return the exposure term of each that has one.
@@ -115,8 +107,8 @@ def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str
     """
     if not exposures or not outcomes:
         raise ValueError("no exposures or outcomes found")
-    for spec in specs:
-        design.check_spec(wide, spec)
+    specs = design.usable_specs(wide, specs)
+    wide = nan_to_null(wide)
     spark = wide.sparkSession
     sets = sorted({design.pattern_columns(s) for s in specs}, key=lambda s: (-len(s), sorted(s)))
     # Exposures already tell zips and months apart, so calendar columns and sex
@@ -128,7 +120,7 @@ def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str
 
     with ExitStack() as stack:
         finest = stack.enter_context(scratch_table(
-            _spread_out(design.covariate_patterns(wide, exposures, outcomes, everything)),
+            design.covariate_patterns(wide, exposures, outcomes, everything),
             "patterns"))
         centre = _centres(finest, [*exposures, *[
             c for c in everything
@@ -140,7 +132,7 @@ def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str
             patterns = finest
             if sorted(home) != everything:
                 patterns = stack.enter_context(scratch_table(
-                    _spread_out(design.fewer_patterns(finest, exposures, outcomes, sorted(home))),
+                    design.fewer_patterns(finest, exposures, outcomes, sorted(home)),
                     "patterns"))
             columns = tuple(dict.fromkeys(c for d in mine for c in d.columns))
             layout = irls.PatternLayout(tuple(exposures), columns, tuple(outcomes))
@@ -183,7 +175,7 @@ def adjusted(results: DataFrame) -> DataFrame:
     """
     return (adjust_p(results, ["model_spec_id", "strata"], bounded=True)
             .withColumn("q_value", F.col("p_adj_fdr"))
-            .orderBy("p_value", "model_spec_id", "exposure_id", "outcome"))
+            .orderBy(F.desc_nulls_last("neg_log10_p"), "p_value", "model_spec_id", "exposure_id", "outcome"))
 
 
 def stamped(results: DataFrame, run_id: str, run_at: datetime) -> DataFrame:
@@ -194,11 +186,15 @@ def stamped(results: DataFrame, run_id: str, run_at: datetime) -> DataFrame:
 
 def scan(months: DataFrame, rollup: DataFrame, *, specs: Sequence[ModelSpec] = MODEL_SPECS,
          features: tuple[Feature, ...] = FEATURES, gate: irls.Gate = irls.Gate()) -> DataFrame:
-    """The full scan from the cohort and the exposure rollup."""
-    known = [f.id for f in features]
+    """The full scan from the cohort and the exposure rollup.
+
+    Every exposure of the rollup is tested: configured ones in their order, then
+    any other by name.  Exposures become columns, so their number is a study's.
+    """
     found = {r.exposure_id for r in rollup.filter(F.col("metric") == "mean")
              .select("exposure_id").distinct().collect()}
-    exposures = [e for e in dict.fromkeys(known) if e in found]
+    known = [f.id for f in features if f.id in found]
+    exposures = [*dict.fromkeys(known), *sorted(found - set(known))]
     wide = attach_rollup(months, rollup, exposures)
     return adjusted(fit_models(wide, exposures, flag_columns(months), specs, gate))
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import (DAILY_DEFAULT_SOURCE, DAILY_SOURCES, DAILY_VERSION, EXPOSURE_VARIABLES,
                       EXPOSURE_YEARS, THRESHOLDS, Threshold)
+from ..functions.missing import nan_to_null, no_nan
 from .joins import join_null_safe
-from .ranks import grouped_quantile
 
 
 def cohort_subset(exposures: DataFrame, months: DataFrame, *,
@@ -26,7 +26,7 @@ def cohort_subset(exposures: DataFrame, months: DataFrame, *,
         return exposures.limit(0)
     low, high = max(years[0], first), min(years[1], last)
     # Text equality keeps stray forms such as '2012.0' out, as a year list would.
-    wanted = exposures.filter(F.col("year").isin([str(y) for y in range(low, high + 1)])
+    wanted = nan_to_null(exposures).filter(F.col("year").isin([str(y) for y in range(low, high + 1)])
                               & F.col("variable").isin(list(variables)))
     zips = months.select(F.col("zip5").alias("geoid")).distinct()
     return join_null_safe(wanted, zips, ["geoid"], "left_semi")
@@ -47,7 +47,7 @@ def to_wide(exposures: DataFrame, *, variables: Iterable[str] = EXPOSURE_VARIABL
         exposures = exposures.withColumnRenamed("geoid", "zip5")
 
     def cell(variable: str) -> Column:
-        value = F.when(F.col(names) == variable, F.col(values))
+        value = F.when(F.col(names) == variable, no_nan(F.col(values).cast("double")))
         if duplicates == "mean":
             return F.avg(value)
         repeats = F.count_if(F.col(names) == variable) > 1
@@ -77,6 +77,7 @@ def source_of(exposure_id: Column) -> Column:
 def daily_long(wide: DataFrame, *, version: str = DAILY_VERSION) -> DataFrame:
     """Wide daily covariates to the long daily table, tagged and year-stamped."""
     keys = ["date", "geo_id", "geo_type"]
+    wide = nan_to_null(wide)
     long = wide.unpivot(keys, [c for c in wide.columns if c not in keys], "exposure_id", "value")
     return long.select(
         F.col("date").alias("obs_date"), "geo_id", "geo_type", "exposure_id", "value",
@@ -87,7 +88,7 @@ def daily_long(wide: DataFrame, *, version: str = DAILY_VERSION) -> DataFrame:
 def series(daily: DataFrame, *, geo_id: str, geo_type: str, exposure_id: str,
            start: str, end: str) -> DataFrame:
     """One place's daily series of one exposure, in date order."""
-    return (daily.filter((F.col("geo_type") == geo_type) & (F.col("exposure_id") == exposure_id)
+    return (nan_to_null(daily).filter((F.col("geo_type") == geo_type) & (F.col("exposure_id") == exposure_id)
                          & (F.col("geo_id") == geo_id)
                          & F.col("obs_date").between(F.lit(start).cast("date"),
                                                      F.lit(end).cast("date")))
@@ -107,7 +108,7 @@ def monthly_metrics(daily: DataFrame, *, thresholds: Iterable[Threshold] = THRES
     are NULL for the others.
     """
     keys = ["geo_id", "geo_type", "exposure_id", "ym"]
-    daily = daily.withColumn("ym", F.trunc("obs_date", "month"))
+    daily = nan_to_null(daily).withColumn("ym", F.trunc("obs_date", "month"))
     value = F.col("value")
     metrics = {
         "mean": F.avg(value), "sum": F.sum(value), "max": F.max(value),
@@ -115,4 +116,6 @@ def monthly_metrics(daily: DataFrame, *, thresholds: Iterable[Threshold] = THRES
         **{t.id: F.when(F.col("exposure_id").startswith(t.prefix), days_beyond(value, t))
            for t in thresholds},
     }
-    return grouped_quantile(daily, keys, "value", 0.9, alias="p90", extra=metrics)
+    # A month of days at most per group, so the built-in percentile holds a group easily.
+    return daily.groupBy(*keys).agg(*[c.alias(n) for n, c in metrics.items()],
+                                    F.percentile("value", F.lit(0.9)).alias("p90"))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ..config import STATE_OVERRIDES, VISIT_COLUMN_MAP, layered_map
+from ..config import STATE_OVERRIDES, VISIT_COLUMN_MAP, YEAR_OVERRIDES, layered_map
 from ..functions import codes, dates, privacy
+from ..functions.missing import no_nan
 from ..sources.bronze import group_by_schema
 
 
@@ -23,9 +25,11 @@ def columns_matching(df: DataFrame, pattern: str) -> list[str]:
 
 
 def key_text(df: DataFrame, key: Column) -> Column:
-    """A key as plain digits: floating-point keys lose their exponent form."""
+    """A key as plain digits: a whole number stored as a float or decimal loses point and exponent."""
     kind = df.select(key.alias("k")).schema["k"].dataType
     if isinstance(kind, (T.DoubleType, T.FloatType)):
+        key = no_nan(key)
+    if isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
         whole = key.try_cast("decimal(38,0)")
         return F.when(key == F.floor(key), whole.cast("string")).otherwise(key.cast("string"))
     return key.cast("string")
@@ -51,7 +55,9 @@ def normalize_visits(df: DataFrame, db_type: str, salt: str, *, column_map: dict
     causes = columns_matching(df, m["ecause_regex"])
     person_key = key_text(df, pick("person_key_candidates"))
     visit_key = key_text(df, pick("visit_id"))
-    zip_text = F.lpad(text("zip5"), 5, "0") if pad_zip else text("zip5")
+    zip_text = key_text(df, pick("zip5"))
+    if pad_zip:
+        zip_text = F.when(F.length(zip_text) < 5, F.lpad(zip_text, 5, "0")).otherwise(zip_text)
     admitted = dates.month_start(pick("year"), pick("admit_month"))
     return df.select(
         visit_key.alias("visit_id"),
@@ -81,23 +87,26 @@ def _numeric_visit_ids(df: DataFrame, column_map: dict) -> bool:
 
 
 def harmonize(spark: SparkSession, bronze: str, salt: str, *, pad_zip: bool = False,
-              column_map: dict = VISIT_COLUMN_MAP, overrides: bool = False) -> DataFrame:
+              column_map: dict = VISIT_COLUMN_MAP, overrides: bool = False,
+              state_overrides: Mapping = STATE_OVERRIDES,
+              year_overrides: Mapping = YEAR_OVERRIDES) -> DataFrame:
     """All visits below ``bronze`` as one table.
 
     Visit ids are whole numbers when every source stores them so, else text.
-    ``overrides`` applies the per-state and per-year entries of the map.
+    ``overrides`` applies the per-state and per-year entries of the map, which
+    are looked up by the folders below ``bronze``; a caller may bring its own.
     """
-    groups = group_by_schema(spark, bronze,
-                             states=frozenset(STATE_OVERRIDES) if overrides else frozenset())
+    groups = group_by_schema(spark, bronze, places=frozenset(state_overrides) if overrides else None)
     parts, whole = [], True
     for group in groups:
         raw = group.read(spark)
-        m = layered_map(group.db_type, column_map, state=group.state, year=group.year)
+        m = layered_map(group.db_type, column_map, state=group.state, year=group.year,
+                        state_overrides=state_overrides, year_overrides=year_overrides)
         whole = whole and _numeric_visit_ids(raw, m)
         parts.append(normalize_visits(raw, group.db_type, salt, column_map=m, pad_zip=pad_zip))
     visits = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if whole:
-        visits = visits.withColumn("visit_id", F.col("visit_id").cast("long"))
+        visits = visits.withColumn("visit_id", F.col("visit_id").try_cast("long"))
     return visits
 
 

@@ -1,4 +1,4 @@
-"""Joins against tables that are usually, but not provably, small."""
+"""Joins in which a NULL key matches a NULL key."""
 
 from __future__ import annotations
 
@@ -6,26 +6,16 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-# Rows up to which the side of a join is broadcast.  At the widths used here
-# (a few keys and doubles) this is tens of megabytes per executor.
-MAX_BROADCAST_ROWS = 1_000_000
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Equi-join in which a NULL key matches a NULL key; keys appear once.
 
-def if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a count proves it small, else leave it.
-
-    Beyond the bound Spark plans a shuffled join, which adaptive execution
-    splits where a key is skewed.
+    How the sides meet is left to Spark, which knows their bytes when the query
+    runs and splits a skewed key.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left",
-                   max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Equi-join in which a NULL key matches a NULL key; keys appear once."""
     renamed = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
     matches = reduce(lambda a, b: a & b,
                      [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys])
-    joined = left.join(if_small(renamed, max_rows), matches, how)
+    joined = left.join(renamed, matches, how)
     return joined if how in ("left_semi", "left_anti") else joined.drop(
         *[f"__right_{k}" for k in keys])

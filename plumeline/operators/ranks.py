@@ -1,28 +1,22 @@
 """Exact ranks, quantiles and p-value adjustment over groups of any size.
 
-A window over a group sorts the whole group in one task.  Where the number of
-rows is not bounded by the study design, ranks are therefore built in two
-levels: values are cut into chunks of bounded size at approximate quantiles of
-the whole column, ranked inside each (group, chunk), and shifted by the counts
-of the group's earlier chunks.  The result is exact wherever the cuts fall.
+A window over a group sorts the whole group in one task.  Ranks are therefore
+built in two levels, whatever the size: the distinct values are cut into ranges
+by (group, value) as a global sort would cut them, ranked inside each range, and
+shifted by the counts of the group's earlier ranges.  The number of ranges
+follows the session's shuffle partitions, and the result is exact wherever the
+cuts fall.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
-from math import ceil, inf
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.missing import no_nan
 from ..session import materialize
-from .joins import MAX_BROADCAST_ROWS, join_null_safe
-
-CHUNK_ROWS = 1_000_000
-MAX_CHUNKS = 4_096
-# A group this large is no longer reduced to a percentile inside one task.
-HOT_GROUP_ROWS = 1_000_000
+from .joins import join_null_safe
 
 
 def group_key(keys: Sequence[str]) -> Column:
@@ -30,75 +24,56 @@ def group_key(keys: Sequence[str]) -> Column:
     return F.struct(*keys) if keys else F.lit(0)
 
 
-@dataclass(frozen=True)
-class Ranked:
-    """Distinct values per group with counts: ``_grp, _val, cnt, before, total, chunk``.
+def _value(value: str) -> Column:
+    return no_nan(F.col(value).cast("double"))
+
+
+def ranked_values(df: DataFrame, keys: Sequence[str], value: str, ranges: int | None = None) -> DataFrame:
+    """Distinct values per group with counts: ``_grp, _val, cnt, before, total, part``.
 
     ``before`` is the number of rows of the group with a smaller value and
-    ``total`` its number of non-null rows.
+    ``total`` its number of present rows.  ``ranges`` fixes the number of
+    ranges (for tests).
     """
-
-    df: DataFrame
-    chunks: int
-
-
-def ranked_values(df: DataFrame, keys: Sequence[str], value: str,
-                  chunk_rows: int = CHUNK_ROWS) -> Ranked:
-    rows = df.select(group_key(keys).alias("_grp"), F.col(value).cast("double").alias("_val"))
-    rows = rows.filter(F.col("_val").isNotNull())
-    chunks = min(MAX_CHUNKS, ceil(rows.count() / chunk_rows))
-    distinct = rows.groupBy("_grp", "_val").agg(F.count(F.lit(1)).alias("cnt"))
-
-    if chunks <= 1:
-        so_far = Window.partitionBy("_grp").orderBy("_val").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return Ranked(distinct.withColumns({
-            "chunk": F.lit(0.0),
-            "before": F.sum("cnt").over(so_far) - F.col("cnt"),
-            "total": F.sum("cnt").over(Window.partitionBy("_grp")),
-        }), 1)
-
-    probabilities = [i / chunks for i in range(1, chunks)]
-    cuts = sorted(set(rows.approxQuantile("_val", probabilities, 1 / (4 * chunks))))
-    cutter = Bucketizer(splits=[-inf, *cuts, inf], inputCol="_val", outputCol="chunk",
-                        handleInvalid="keep")
-    distinct = materialize(cutter.transform(distinct), "ranks")  # read three times below
-
-    by_chunk = Window.partitionBy("_grp").orderBy("chunk")
-    sizes = distinct.groupBy("_grp", "chunk").agg(F.sum("cnt").alias("chunk_cnt"))
+    rows = df.select(group_key(keys).alias("_grp"), _value(value).alias("_val"))
+    distinct = rows.filter(F.col("_val").isNotNull()).groupBy("_grp", "_val").agg(
+        F.count(F.lit(1)).alias("cnt"))
+    cut = (distinct.repartitionByRange(ranges, "_grp", "_val") if ranges
+           else distinct.repartitionByRange("_grp", "_val"))
+    # Written with its range number, which is then a value and no longer a place.
+    cut = materialize(cut.withColumn("part", F.spark_partition_id()), "ranks")
+
+    by_part = Window.partitionBy("_grp").orderBy("part")
+    sizes = cut.groupBy("_grp", "part").agg(F.sum("cnt").alias("part_cnt"))
     sizes = sizes.select(
-        "_grp", "chunk",
-        F.coalesce(F.sum("chunk_cnt").over(by_chunk.rowsBetween(Window.unboundedPreceding, -1)),
+        "_grp", "part",
+        F.coalesce(F.sum("part_cnt").over(by_part.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("earlier"),
-        F.sum("chunk_cnt").over(Window.partitionBy("_grp")).alias("total"))
-    in_chunk = Window.partitionBy("_grp", "chunk").orderBy("_val").rowsBetween(
+        F.sum("part_cnt").over(Window.partitionBy("_grp")).alias("total"))
+    inside = Window.partitionBy("_grp", "part").orderBy("_val").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    # The window below needs rows by (group, chunk) anyway, so the join shares its shuffle.
-    ranked = distinct.join(sizes, ["_grp", "chunk"]).select(
-        "_grp", "_val", "cnt", "chunk", "total",
-        (F.col("earlier") + F.sum("cnt").over(in_chunk) - F.col("cnt")).alias("before"))
-    return Ranked(ranked, chunks)
+    # The window below needs rows by (group, range) anyway, so the join shares its shuffle.
+    return cut.join(sizes, ["_grp", "part"]).select(
+        "_grp", "_val", "cnt", "part", "total",
+        (F.col("earlier") + F.sum("cnt").over(inside) - F.col("cnt")).alias("before"))
 
 
-def _smallest_from_here_up(ranked: Ranked, column: str, alias: str) -> DataFrame:
+def _smallest_from_here_up(ranked: DataFrame, column: str, alias: str) -> DataFrame:
     """Per group, the minimum of ``column`` over this and all larger values."""
-    upward = Window.partitionBy("_grp", "chunk").orderBy(F.desc("_val")).rowsBetween(
+    upward = Window.partitionBy("_grp", "part").orderBy(F.desc("_val")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    df = ranked.df.withColumn(alias, F.min(column).over(upward))
-    if ranked.chunks <= 1:
-        return df
-    later = Window.partitionBy("_grp").orderBy(F.desc("chunk")).rowsBetween(
+    later = Window.partitionBy("_grp").orderBy(F.desc("part")).rowsBetween(
         Window.unboundedPreceding, -1)
-    minima = ranked.df.groupBy("_grp", "chunk").agg(F.min(column).alias("chunk_min"))
-    minima = minima.select("_grp", "chunk", F.min("chunk_min").over(later).alias("later_min"))
-    return (df.join(minima, ["_grp", "chunk"])
+    minima = ranked.groupBy("_grp", "part").agg(F.min(column).alias("part_min"))
+    minima = minima.select("_grp", "part", F.min("part_min").over(later).alias("later_min"))
+    return (ranked.withColumn(alias, F.min(column).over(upward)).join(minima, ["_grp", "part"])
             .withColumn(alias, F.least(F.col(alias), F.col("later_min"))).drop("later_min"))
 
 
 def _adjust_small(df: DataFrame, keys: Sequence[str], p: str, fdr: str,
                   bonferroni: str | None) -> DataFrame:
     group = Window.partitionBy(*keys)
-    value = F.col(p)
+    value = _value(p)
     total = F.count(value).over(group)
     rank = F.count(value).over(group.orderBy(value.asc_nulls_last()))  # ties share the top rank
     df = df.withColumns({"__total": total, "__scaled": value * total / rank})
@@ -112,33 +87,35 @@ def _adjust_small(df: DataFrame, keys: Sequence[str], p: str, fdr: str,
 
 def adjust_p(df: DataFrame, keys: Sequence[str], *, p: str = "p_value", fdr: str = "p_adj_fdr",
              bonferroni: str | None = "p_adj_bonferroni", bounded: bool = False,
-             chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+             ranges: int | None = None) -> DataFrame:
     """Benjamini-Hochberg and Bonferroni adjustment inside each group.
 
-    The number of tests is the number of non-null p-values; a NULL p-value
-    stays NULL.  ``bounded`` says the caller knows each group is small (a scan
-    of a fixed number of models), where plain windows are enough.
+    The number of tests is the number of present p-values; a missing p-value
+    stays missing.  ``bounded`` says the caller knows each group is small by
+    configuration (a scan of a fixed number of models), where windows do.  Else
+    the input is read twice: for the ranks, and for the rows that get them.
     """
     if bounded:
         return _adjust_small(df, keys, p, fdr, bonferroni)
-    ranked = ranked_values(df, keys, p, chunk_rows)
-    scaled = ranked.df.withColumn(
+    ranked = ranked_values(df, keys, p, ranges)
+    scaled = ranked.withColumn(
         "scaled", F.col("_val") * F.col("total") / (F.col("before") + F.col("cnt")))
-    adjusted = _smallest_from_here_up(Ranked(scaled, ranked.chunks), "scaled", "adj")
     columns = {fdr: F.least(F.lit(1.0), F.col("adj"))}
     if bonferroni:
         columns[bonferroni] = F.least(F.lit(1.0), F.col("_val") * F.col("total"))
-    adjusted = adjusted.select("_grp", "_val", *[c.alias(n) for n, c in columns.items()])
+    adjusted = _smallest_from_here_up(scaled, "scaled", "adj").select(
+        "_grp", "_val", *[c.alias(n) for n, c in columns.items()])
+    keyed = df.withColumns({"_grp": group_key(keys), "_val": _value(p)})
+    return keyed.join(adjusted, ["_grp", "_val"], "left").select(*df.columns, *columns)
 
-    # Missing p-values skip the join, where they would all meet in one task.
-    have = df.filter(F.col(p).isNotNull()).withColumns(
-        {"_grp": group_key(keys), "_val": F.col(p).cast("double")})
-    if ranked.chunks <= 1 and chunk_rows <= MAX_BROADCAST_ROWS:  # counted: at most chunk_rows
-        adjusted = F.broadcast(adjusted)
-    joined = have.join(adjusted, ["_grp", "_val"], "left").select(*df.columns, *columns)
-    missing = df.filter(F.col(p).isNull()).withColumns(
-        {n: F.lit(None).cast("double") for n in columns})
-    return joined.unionByName(missing)
+
+def bonferroni(df: DataFrame, keys: Sequence[str], *, p: str = "p_value",
+               alias: str = "p_adj_bonferroni") -> DataFrame:
+    """Bonferroni alone needs no ranks: a count per group, joined back."""
+    sizes = df.groupBy(*keys).agg(F.count(_value(p)).alias("__tests"))
+    value = _value(p)
+    return join_null_safe(df, sizes, list(keys)).withColumn(
+        alias, F.when(value.isNotNull(), F.least(F.lit(1.0), value * F.col("__tests")))).drop("__tests")
 
 
 def bonferroni_flag(df: DataFrame, keys: Sequence[str], *, p: str = "p_value",
@@ -146,24 +123,18 @@ def bonferroni_flag(df: DataFrame, keys: Sequence[str], *, p: str = "p_value",
     """Is p under ``level`` divided by the group's number of rows, NULLs included?"""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     return join_null_safe(df, sizes, list(keys)).withColumn(
-        alias, F.col(p) < level / F.col("__rows")).drop("__rows")
+        alias, _value(p) < level / F.col("__rows")).drop("__rows")
 
 
 def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, *, alias: str,
-                     extra: Mapping[str, Column] | None = None,
-                     hot_rows: int = HOT_GROUP_ROWS, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                     extra: Mapping[str, Column] | None = None, ranges: int | None = None) -> DataFrame:
     """Exact interpolated quantile per group, next to other aggregates.
 
-    Groups that fit a task use the built-in percentile in the same pass as
-    ``extra``; a count first proves that they do.  With a larger group present
-    the quantile is read off two-level ranks instead.
+    Read off the ranks, so a group may be of any size; a group without a value
+    has a NULL quantile.
     """
     others = [c.alias(n) for n, c in (extra or {}).items()]
     keys = list(keys)
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest <= hot_rows:
-        return df.groupBy(*keys).agg(*others, F.percentile(value, F.lit(q)).alias(alias))
-
     position = (F.col("total") - 1) * q
     low, high = F.floor(position), F.ceil(position)
 
@@ -171,14 +142,15 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, *
         inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
         return F.max(F.when(inside, F.col("_val")))
 
-    picked = ranked_values(df, keys, value, chunk_rows).df.groupBy("_grp").agg(
-        at(low).alias("lo"), at(high).alias("hi"), F.max(position - low).alias("part"))
+    picked = ranked_values(df, keys, value, ranges).groupBy("_grp").agg(
+        at(low).alias("lo"), at(high).alias("hi"), F.max(position - low).alias("part_of"))
     quantiles = picked.select(
         *([F.col(f"_grp.{k}").alias(k) for k in keys]),
-        F.when(F.col("part") == 0, F.col("lo"))
-        .otherwise((1 - F.col("part")) * F.col("lo") + F.col("part") * F.col("hi")).alias(alias))
-    if not keys:
-        base = df.agg(*others, F.count(F.lit(1)).alias("__n")).drop("__n")
-        return base.withColumn(alias, F.lit(quantiles.first()[0]))
-    base = df.groupBy(*keys).agg(*others, F.count(F.lit(1)).alias("__n")).drop("__n")
-    return join_null_safe(base, quantiles, keys)
+        F.when(F.col("part_of") == 0, F.col("lo"))
+        .otherwise((1 - F.col("part_of")) * F.col("lo") + F.col("part_of") * F.col("hi")).alias(alias))
+    base = df.groupBy(*keys).agg(*others, F.count(F.lit(1)).alias("__n")).drop("__n") if keys else (
+        df.agg(*others, F.count(F.lit(1)).alias("__n")).drop(*([] if not others else ["__n"])))
+    if keys:
+        return join_null_safe(base, quantiles, keys)
+    joined = base.join(F.broadcast(quantiles), F.lit(True), "left")  # one row on either side
+    return joined.drop("__n") if "__n" in joined.columns else joined

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import FEATURES, Feature, feature_names
+from ..functions.missing import no_nan
 from .exposures import to_wide
 
 # Stands in for a missing month inside join keys, so that both sides can be
@@ -31,7 +32,7 @@ def exposure_rollup(person_exposures: DataFrame,
     """
     names = available_features(person_exposures.columns, features)
     renamed = person_exposures.select("person_id", "ym",
-                                      *[F.col(v).alias(n) for v, n in names.items()])
+                                      *[no_nan(F.col(v).cast("double")).alias(n) for v, n in names.items()])
     long = renamed.unpivot(["person_id", "ym"], list(names.values()), "exposure_id", "value")
     return (long.filter(F.col("value").isNotNull())
             .select("person_id", "ym", "exposure_id", F.lit("mean").alias("metric"), "value"))

@@ -4,16 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import FEATURES, Feature
 from ..functions import effects
+from ..functions.missing import nan_to_null
+from ..operators.joins import join_null_safe
 from ..operators.ranks import grouped_quantile
 from .quality import percent
 
 HISTOGRAM_BINS = 30
 
 
+def strength(results: DataFrame) -> Column:
+    """-log10 of p; the stored one where there is one, as it outlives an underflowed p."""
+    plain = effects.neg_log10(F.col("p_value"))
+    return F.coalesce("neg_log10_p", plain) if "neg_log10_p" in results.columns else plain
+
+
+def strongest_first(results: DataFrame) -> list[Column]:
+    """Order by p, by its logarithm where p itself is zero, then by name."""
+    order = [F.col("p_value").asc_nulls_last()]
+    if "neg_log10_p" in results.columns:
+        order = [F.col("neg_log10_p").desc_nulls_last(), *order]
+    return [*order, *[F.col(c) for c in ("model_spec_id", "exposure_id", "outcome")]]
+
+
 def filter_results(results: DataFrame, *, model_spec_id: str | None = None,
                    outcome: str | None = None, q_max: float = 1.0,
                    p_max: float | None = None) -> DataFrame:
@@ -26,14 +42,14 @@ def filter_results(results: DataFrame, *, model_spec_id: str | None = None,
     if outcome and outcome != "all":
         kept = kept.filter(F.col("outcome") == outcome)
     return kept.withColumns({
-        "log10_p": effects.neg_log10(F.col("p_value")),
+        "log10_p": strength(results),
         "significant": effects.significant(F.col("q_value")),
         "label": effects.pair_label(F.col("exposure_id"), F.col("outcome"))})
 
 
 def result_table(results: DataFrame) -> DataFrame:
     """Display form of results, smallest p first."""
-    return (results.orderBy("p_value", "model_spec_id", "exposure_id", "outcome")
+    return (results.orderBy(*strongest_first(results))
             .select("outcome", "exposure_id", "n", "n_cases",
                     *[F.round(c, 3).alias(c) for c in ("odds_ratio", "or_ci_low", "or_ci_high")],
                     effects.format_scientific(F.col("p_value")).alias("p_value"),
@@ -44,7 +60,7 @@ def top_hits(results: DataFrame, k: int, *, q_below: float | None = None) -> Dat
     """The k smallest p-values, optionally among significant results only."""
     if q_below is not None:
         results = results.filter(F.col("q_value") < q_below)
-    return results.orderBy("p_value", "model_spec_id", "exposure_id", "outcome").limit(k)
+    return results.orderBy(*strongest_first(results)).limit(k)
 
 
 def with_labels(results: DataFrame, features: Sequence[Feature] = FEATURES) -> DataFrame:
@@ -56,24 +72,28 @@ def with_labels(results: DataFrame, features: Sequence[Feature] = FEATURES) -> D
 
 
 def formatted_hits(results: DataFrame, k: int = 10) -> DataFrame:
-    hits = with_labels(top_hits(results, k))
+    """The k strongest results with labels and display forms, in order."""
+    hits = with_labels(top_hits(results, k)).orderBy(*strongest_first(results))
     ci = effects.format_ci(F.col("odds_ratio"), F.col("or_ci_low"), F.col("or_ci_high"))
     return (hits.select("strata", "model_spec_id", "outcome", "exposure_label", "n_cases",
-                        ci.alias("or_ci"), "p_value")
-            .orderBy("p_value"))
+                        ci.alias("or_ci"),
+                        effects.format_scientific(F.col("p_value")).alias("p_value")))
 
 
 def histogram(df: DataFrame, value: str, by: Sequence[str] = (),
               bins: int = HISTOGRAM_BINS) -> DataFrame:
-    """Equal-width counts over the whole range, the end bins centred on the ends."""
-    present = df.filter(F.col(value).isNotNull())
-    low, high = present.agg(F.min(value), F.max(value)).first()
-    if low is None:
-        return present.groupBy(F.lit(0).alias("bin"), *by).agg(F.count(F.lit(1)).alias("n"))
-    width = (high - low) / (bins - 1) or 0.1
+    """Equal-width counts over each group's range, the end bins centred on the ends."""
+    present = nan_to_null(df.select(value, *by)).filter(F.col(value).isNotNull())
+    ends = present.groupBy(*by).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    ranged = join_null_safe(present, ends, list(by)) if by else present.join(F.broadcast(ends))  # one row
+    span = F.col("__high") - F.col("__low")
+    width = F.when(span > 0, span / (bins - 1)).otherwise(F.lit(0.1))
+    low = F.col("__low")
     at = F.ceil((F.col(value) - low) / width - 0.5).cast("int")
-    return (present.groupBy(at.alias("bin"), *by).agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("bin_centre", low + F.col("bin") * width))
+    return (ranged.groupBy(at.alias("bin"), *by)
+            .agg(F.count(F.lit(1)).alias("n"), F.first(low).alias("__low"), F.first(width).alias("__width"))
+            .withColumn("bin_centre", F.col("__low") + F.col("bin") * F.col("__width"))
+            .drop("__low", "__width"))
 
 
 def odds_ratio_histogram(results: DataFrame) -> DataFrame:
@@ -89,7 +109,7 @@ def options(df: DataFrame, column: str) -> DataFrame:
 
 def range_statistics(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean, median, spread, ends and missing days of a daily series."""
-    value = F.col("value")
+    series, value = nan_to_null(series), F.col("value")
     stats = grouped_quantile(series, list(by), "value", 0.5, alias="median_val", extra={
         "mean_val": F.avg(value), "sd_val": F.stddev_samp(value), "min_val": F.min(value),
         "max_val": F.max(value), "n_missing": F.count_if(value.isNull())})
@@ -122,6 +142,6 @@ def geographic_coverage(months: DataFrame) -> DataFrame:
 
 def calendar(daily: DataFrame) -> DataFrame:
     """Days and mean value of each exposure by year and month."""
-    return daily.groupBy("exposure_id", F.year("obs_date").alias("year"),
+    return nan_to_null(daily).groupBy("exposure_id", F.year("obs_date").alias("year"),
                          F.month("obs_date").alias("month")).agg(
         F.count("value").alias("n_days"), F.avg("value").alias("mean_val"))

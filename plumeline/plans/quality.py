@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.missing import nan_to_null
 from ..operators.cohort import flag_columns
 from ..sources.bronze import group_by_schema
 
@@ -26,7 +27,8 @@ def bronze_inventory(spark: SparkSession, bronze: str) -> DataFrame:
 
 
 def coverage(df: DataFrame, columns: Sequence[str], digits: int = 1) -> DataFrame:
-    """Non-null rows and percent per column, in one pass."""
+    """Present rows (neither NULL nor NaN) and percent per column, in one pass."""
+    df = nan_to_null(df.select(*columns))
     total = F.count(F.lit(1))
     parts = [F.struct(F.lit(c).alias("column_name"), F.count(c).alias("n_present"),
                       total.alias("n_rows"), percent(F.count(c), total, digits).alias("pct_present"))

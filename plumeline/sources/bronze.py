@@ -8,16 +8,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_FOOTERS_PER_TASK = 32
-
-
 def list_files(spark: SparkSession, root: str) -> DataFrame:
     """Paths of every Parquet file below ``root`` (contents are not read)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-    if files.isEmpty():
-        raise FileNotFoundError(f"no parquet files below {root}")
-    return files
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+            .option("pathGlobFilter", "*.parquet").load(root).select("path"))
 
 
 def db_type_of(path: str) -> str:
@@ -33,6 +27,12 @@ def db_type_column(path: Column) -> Column:
             .otherwise("SID"))
 
 
+def below(path: str, root: str) -> str:
+    """The part of a file's path under ``root``, whatever scheme either is written with."""
+    bare = re.sub("^[a-z0-9]+:/+", "/", root).rstrip("/") + "/"
+    return path.partition(bare)[2] or path
+
+
 def state_year_of(path: str, states: frozenset[str]) -> tuple[str | None, int | None]:
     """State code and year spelled out in a path, where there are any."""
     words = re.split(r"[^A-Za-z0-9]+", path)
@@ -71,21 +71,24 @@ def _read_footers(batches: Iterator) -> Iterator:
 
 
 def group_by_schema(spark: SparkSession, root: str, *,
-                    states: frozenset[str] = frozenset()) -> list[FileGroup]:
+                    places: frozenset[str] | None = None) -> list[FileGroup]:
     """Group the files below ``root`` so that each group maps to one plan.
 
     Footers are read by tasks; the driver receives one short line per file,
-    which is what it holds anyway to plan a scan.  ``states`` splits groups by
-    state and year as well, for maps with overrides.
+    which is what it holds anyway to plan a scan.  Each schema's text comes back
+    once.  ``places`` (state codes) splits groups by the state and year that the
+    folders below ``root`` name, for maps with overrides.
     """
-    files = list_files(spark, root)
-    n_files = files.count()
-    footers = (files.repartition(max(1, n_files // _FOOTERS_PER_TASK))
-               .mapInPandas(_read_footers, "path string, columns string"))
+    footers = list_files(spark, root).repartition("path").mapInPandas(_read_footers, "path string, columns string")
+    same = footers.groupBy("columns").agg(F.collect_list("path").alias("paths"))  # paths as any scan plan holds
     groups: dict[tuple, list[str]] = {}
-    for row in footers.toLocalIterator():
-        state, year = state_year_of(row.path, states) if states else (None, None)
-        groups.setdefault((db_type_of(row.path), state, year, row.columns), []).append(row.path)
+    for row in same.toLocalIterator():
+        for path in row.paths:
+            inside = below(path, root)
+            state, year = (None, None) if places is None else state_year_of(inside, places)
+            groups.setdefault((db_type_of(path), state, year, row.columns), []).append(path)
+    if not groups:
+        raise FileNotFoundError(f"no parquet files below {root}")
     ordered = sorted(groups.items(), key=lambda item: min(item[1]))
     return [FileGroup(db, state, year, tuple(sorted(paths)))
             for (db, state, year, _), paths in ordered]

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.missing import nan_to_null, no_nan
+
 CROSSWALK_SCHEMA = T.StructType([
     T.StructField("zip", T.StringType()),
     T.StructField("tract", T.StringType()),
@@ -49,7 +51,7 @@ def read_monthly_exposures(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", True).parquet(path).select(
         F.col("geoid").cast("string").alias("geoid"), F.col("year").cast("string").alias("year"),
         F.col("month").cast("int").alias("month"), "variable",
-        F.col("value").cast("double").alias("value"))
+        no_nan(F.col("value").cast("double")).alias("value"))
 
 
 def read_daily_covariates(spark: SparkSession, path: str) -> DataFrame:
@@ -58,4 +60,4 @@ def read_daily_covariates(spark: SparkSession, path: str) -> DataFrame:
     missing = {"date", "geo_id", "geo_type"} - set(wide.columns)
     if missing:
         raise ValueError(f"daily covariates lack {sorted(missing)}")
-    return wide
+    return nan_to_null(wide)

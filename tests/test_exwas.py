@@ -140,5 +140,5 @@ def test_p_value_tail_outlives_underflow():
 def test_missing_covariate_is_refused(spark):
     df = spark.createDataFrame([(2012, 1, 1.0)], "year int, month int, female double")
     with pytest.raises(ValueError, match="zip5_cluster"):
-        design.check_spec(df, LEGACY_MODEL_SPECS[2])
-    design.check_spec(df, LEGACY_MODEL_SPECS[1])
+        design.usable_specs(df, [LEGACY_MODEL_SPECS[2]])
+    assert design.usable_specs(df, [LEGACY_MODEL_SPECS[1]]) == [LEGACY_MODEL_SPECS[1]]

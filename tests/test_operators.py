@@ -53,14 +53,18 @@ def test_attach_tract_replaces_an_older_tract(spark):
     assert sorted(rows(got)) == [(1, "A"), (2, None), (3, None)]
 
 
-@pytest.mark.parametrize("max_rows", [0, 1000])
-def test_null_safe_join_both_strategies(spark, max_rows):
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_null_safe_join_both_strategies(spark, threshold):
     left = spark.createDataFrame([(1, None), (2, "x"), (3, "y")], "id int, k string")
     right = spark.createDataFrame([(None, 10), ("x", 20)], "k string, v int")
-    joined = joins.join_null_safe(left, right, ["k"], max_rows=max_rows)
-    assert sorted(rows(joined.select("id", "v"))) == [(1, 10), (2, 20), (3, None)]
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) or max_rows == 0
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        joined = joins.join_null_safe(left, right, ["k"])
+        assert sorted(rows(joined.select("id", "v"))) == [(1, 10), (2, 20), (3, None)]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in plan and "GlobalLimit" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 MONTHLY = "geoid string, year string, month int, variable string, value double"
@@ -122,7 +126,7 @@ def bh(p):
                      for value in p])
 
 
-@pytest.mark.parametrize("options", [{"bounded": True}, {}, {"chunk_rows": 7}, {"chunk_rows": 40}])
+@pytest.mark.parametrize("options", [{"bounded": True}, {}, {"ranges": 1}, {"ranges": 9}])
 def test_fdr_matches_its_definition(spark, options):
     rng = np.random.default_rng(3)
     groups = {"hot": rng.random(150).round(2) ** 2, "small": np.array([0.02, 0.02, 0.5]),
@@ -154,11 +158,11 @@ def test_quantile_is_exact_in_hot_groups(spark, q):
               None: rng.normal(size=30)}
     data = [(g, float(v)) for g, vs in groups.items() for v in vs] + [("hot", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(4)
-    for options in ({}, {"hot_rows": 50, "chunk_rows": 25}):
+    for options in ({}, {"ranges": 11}):
         got = dict(rows(ranks.grouped_quantile(df, ["g"], "v", q, alias="m", **options)))
         for name, values in groups.items():
             assert got[name] == pytest.approx(np.quantile(values, q), abs=1e-12)
-    whole = ranks.grouped_quantile(df, [], "v", q, alias="m", hot_rows=5, chunk_rows=25).first()[0]
+    whole = ranks.grouped_quantile(df, [], "v", q, alias="m", ranges=5).first()[0]
     assert whole == pytest.approx(np.quantile(np.concatenate(list(groups.values())), q), abs=1e-12)
 
 
@@ -229,3 +233,45 @@ def test_result_views(spark):
     shown = explore.result_table(results)
     assert [r.p_value for r in shown.collect()] == ["0.00e+00", "1.00e-03", "4.00e-01"]
     assert rows(quality.results_by_outcome(results)) == [("a_flag", 2, 2), ("b_flag", 1, 0)]
+
+
+def test_quantile_of_nothing_is_null(spark):
+    df = spark.createDataFrame([("a", None), ("b", float("nan"))], "g string, v double")
+    assert ranks.grouped_quantile(df, [], "v", 0.5, alias="m").first()[0] is None
+    assert rows(ranks.grouped_quantile(df, ["g"], "v", 0.5, alias="m").select("m")) == [(None,), (None,)]
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    wide = spark.createDataFrame([(1, date(2014, 1, 1), nan), (2, date(2014, 1, 1), 3.0)],
+                                 "person_id int, ym date, tmax double")
+    assert [r.value for r in rollup.exposure_rollup(wide).collect()] == [3.0]
+    from plumeline.plans import explore, quality
+    assert quality.coverage(wide, ["tmax"]).first().n_present == 1
+    assert [r.n for r in explore.histogram(wide, "tmax").collect()] == [1]
+
+
+def test_histogram_has_a_range_per_group(spark):
+    from plumeline.plans import explore
+    df = spark.createDataFrame([("t", float(v)) for v in range(30)] + [("d", v * 1e-9) for v in range(30)],
+                               "g string, v double")
+    got = explore.histogram(df, "v", ["g"]).collect()
+    assert len(got) == 60 and max(r.bin_centre for r in got if r.g == "d") == pytest.approx(29e-9)
+
+
+def test_strongest_results_come_first(spark):
+    from plumeline.plans import explore
+    df = spark.createDataFrame(
+        [("m", "b", "o", 0.0, 400.0, 0.0), ("m", "a", "o", 0.0, 350.0, 0.0), ("m", "c", "o", 0.01, 2.0, 0.02)],
+        "model_spec_id string, exposure_id string, outcome string, p_value double, neg_log10_p double, q_value double")
+    assert [r.exposure_id for r in explore.top_hits(df, 2).collect()] == ["b", "a"]
+    assert [r.log10_p for r in explore.filter_results(df).orderBy("log10_p").collect()] == [2.0, 350.0, 400.0]
+
+
+def test_inputs_are_scanned_twice_at_most(spark, tmp_path):
+    spark.range(500).selectExpr("id", "id % 3 as g", "(id % 97) / 97 as p_value").write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    plan = ranks.bonferroni(df, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2
+    plan = ranks.adjust_p(df, ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(str(tmp_path)) == 1  # besides the pass that wrote the ranks
