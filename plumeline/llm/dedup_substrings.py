@@ -32,7 +32,7 @@ from .text import whole, written
 LENGTH = 200
 ANCHOR = 64
 # Anchors with more kinds of surroundings are sorted in blocks of about this many.
-BLOCK = 1024
+BLOCK = 4096
 _SEGMENT = 1 << 20  # bytes hashed at a time
 _LOW = np.uint64((1 << 20) - 1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -191,7 +191,7 @@ def _sorted_windows(dealt: DataFrame, length: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(b.num_rows for b in held) >= 4 * BLOCK:
+            if sum(b.num_rows for b in held) >= 2 * BLOCK:
                 table = joined()
                 key = table.column(table.schema.names.index("anchor")).to_numpy()
                 cut = int(np.flatnonzero(key != key[-1])[-1]) + 1 if (key != key[-1]).any() else 0
@@ -207,7 +207,8 @@ def _sorted_windows(dealt: DataFrame, length: int) -> DataFrame:
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = ANCHOR, block: int = BLOCK) -> DataFrame:
     """(_doc, first, last): starts of windows that occur elsewhere too, as runs, for (_doc, _text)."""
     counted = _find(rows, True, length, gram).groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    twice = counted.filter("n > 1").select("anchor")
+    # Written, so that the join below has plain shuffles on both sides and can split a hot anchor.
+    twice = written(counted.filter("n > 1").select("anchor"), "twice")
     found = written(_find(rows, False, length, gram).join(twice, "anchor"), "anchors")
     kinds = found.groupBy("anchor", "around", "lo", "hi").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("_doc", "pos")).alias("rep"))
