@@ -13,9 +13,10 @@ def write_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Three source layouts below one folder, one per database type.
 
     SID uses upper-case ICD-9 names, SEDD ICD-10 names, and SASD has no person
-    key at all.  Months may be 13, ages may be '.', stays may be '-9'.
+    key at all.  SID stores person keys as decimals and SASD zips as doubles.
+    Months may be 13, ages may be '.', stays may be '-9'.
     """
-    root = scratch_path(spark, "bronze")
+    root = f"{scratch_path(spark, 'bronze')}/2024_run"  # a year above the root says nothing
     visits = view(spark, sf_dir, "v_visit").withColumns({
         "bad_month": F.when(F.col("visit_id") % 50 == 0, 13).otherwise(F.col("src_month")),
         "age_text": F.when(F.col("visit_id") % 11 == 0, ".").otherwise(
@@ -23,9 +24,10 @@ def write_bronze(spark: SparkSession, sf_dir: str) -> str:
         "los_text": F.when(F.col("visit_id") % 13 == 0, "-9").otherwise(
             (F.col("visit_id") % 9).cast("string")),
         "key_gap": F.when(F.col("visit_id") % 17 != 0, F.col("person_key"))})
-    _sid(visits).write.parquet(f"{root}/UT/2012/sid_core")
-    _sedd(visits).write.parquet(f"{root}/UT/2015/sedd_core")
-    _sasd(visits).write.parquet(f"{root}/UT/2013/nested/SASD_core")
+    # As many files as the inventory query expects.
+    _sid(visits).repartition(3).write.parquet(f"{root}/UT/2012/sid_core")
+    _sedd(visits).repartition(2).write.parquet(f"{root}/UT/2015/sedd_core")
+    _sasd(visits).repartition(1).write.parquet(f"{root}/UT/2013/nested/SASD_core")
     return root
 
 
@@ -38,8 +40,8 @@ def _sid(visits: DataFrame) -> DataFrame:
     return visits.filter(F.col("db_type") == "SID").select(
         F.col("src_year").alias("YEAR"), F.col("bad_month").alias("AMONTH"),
         F.col("src_month").alias("DMONTH"), F.col("visit_id").alias("KEY"),
-        F.col("key_gap").alias("VISITLINK"), F.col("dx1").alias("DX1"), F.col("dx2").alias("DX2"),
-        F.col("dx2").alias("DX_ADMITTING"), F.lit("E8800").alias("ECODE1"),
+        F.col("key_gap").cast("decimal(12,2)").alias("VISITLINK"), F.col("dx1").alias("DX1"),
+        F.col("dx2").alias("DX2"), F.col("dx2").alias("DX_ADMITTING"), F.lit("E8800").alias("ECODE1"),
         F.col("dx2").alias("ECODE2"), F.col("zip5").alias("ZIP"), F.lit("UT").alias("HOSPST"),
         F.lit("035").alias("HOSPSTCO"), F.col("los_text").alias("LOS"), *_common())
 
@@ -59,7 +61,7 @@ def _sasd(visits: DataFrame) -> DataFrame:
         F.col("src_year").cast("string").alias("YEAR"),
         F.col("src_month").cast("string").alias("AMONTH"), F.col("visit_id").alias("KEY"),
         F.col("dx1").alias("I10_DX1"), F.col("dx2").alias("DX2"), F.col("dx1").alias("dx_reason"),
-        F.col("zip5").alias("ZIPCODE"), *_common())
+        F.col("zip5").cast("double").alias("ZIPCODE"), *_common())
 
 
 # The same rules in SQL, on the visit view directly.
@@ -92,7 +94,7 @@ from v_visit"""
 
 def write_override_bronze(spark: SparkSession, sf_dir: str) -> str:
     """Mixed-prefix diagnosis columns in folders named by state and year."""
-    root = scratch_path(spark, "bronze-years")
+    root = f"{scratch_path(spark, 'bronze-years')}/2024_run"
     visits = view(spark, sf_dir, "v_visit")
     for remainder, folder in enumerate(("NC/2015", "NC/2016", "CA/2017")):
         visits.filter(F.col("visit_id") % 3 == remainder).select(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from plumeline.config import LEGACY_MODEL_SPECS, MODEL_SPECS, PHENOTYPES, ModelSpec, select_specs
+from plumeline.config import FEATURES, LEGACY_MODEL_SPECS, MODEL_SPECS, PHENOTYPES, ModelSpec, select_specs
 from plumeline.exwas import irls, scan
 from plumeline.functions import effects
 from plumeline.operators import ranks
@@ -82,14 +83,6 @@ def global_adjust(spark, sf):
                                    bonferroni=None), "q_value")
 
 
-@query("sorted_results", with_tables("""
-select test_id, model_spec_id, p_value from v_pvalue where p_value < 0.05
-order by p_value, test_id""", "v_pvalue"))
-def sorted_results(spark, sf):
-    return view(spark, sf, "v_pvalue").filter(F.col("p_value") < 0.05).orderBy(
-        "p_value", "test_id")
-
-
 # ---- design and eligibility ---------------------------------------------------
 _TESTS = " union all ".join(
     f"select '{e}' as exposure_id, {e} as value, {', '.join(FLAGS)}, female from scan_input"
@@ -231,7 +224,9 @@ from {prefix}_gate join {prefix}_fit using (fit)"""
 def _with_p(source):
     terms = 220
     return f"""
-select *, 1 - least(1.0, z * exp(-z * z / 2) * sqrt(2 / pi()) * series) as p_value from (
+select *, case when z > 6 then exp(-z * z / 2) * sqrt(2 / pi()) / z * (1 - 1 / z**2 + 3 / z**4
+    - 15 / z**6 + 105 / z**8 - 945 / z**10 + 10395 / z**12 - 135135 / z**14)
+  else 1 - least(1.0, z * exp(-z * z / 2) * sqrt(2 / pi()) * series) end as p_value from (
   select *, list_sum(list_transform(range({terms}), lambda i: exp(
     i * ln(greatest(z * z / 2, 1e-300)) + lgamma(1.5) - lgamma(i + 1.5)))) as series
   from (select *, abs(z_value) as z from {source}))"""
@@ -377,27 +372,43 @@ def results_by_outcome(spark, sf):
     return quality.results_by_outcome(unadjusted_scan(spark, sf))
 
 
+_LABELS = " union all ".join(
+    f"select '{f.id}' as exposure_id, '{f.description}' as label" for f in FEATURES)
+
+
+@query("sorted_results", with_tables("""
+select outcome, exposure_id, model_spec_id, cast(row_number() over (
+  order by z desc, model_spec_id, exposure_id, outcome) as int) as place from scanned""",
+    "scan_input", extra=_ADJUSTED))
+def sorted_results(spark, sf):
+    """The place of every result, strongest first."""
+    return explore.ranked(unadjusted_scan(spark, sf)).select(
+        "outcome", "exposure_id", "model_spec_id", "place")
+
+
 @query("top_hits", with_tables("""
-select strata, model_spec_id, outcome, exposure_id, n_cases,
+select strata, model_spec_id, outcome, label as exposure_label, n_cases,
   printf('%.2f (%.2f-%.2f)', odds_ratio, or_ci_low, or_ci_high) as or_ci,
-  round(p_value, 6) as p_value
-from scanned order by scanned.p_value, model_spec_id, exposure_id, outcome limit 10""",
-    "scan_input", extra=_ADJUSTED))
+  printf('%.2e', p_value) as p_value
+from (select * from scanned left join labels using (exposure_id)
+  order by z desc, model_spec_id, exposure_id, outcome limit 10)""",
+    "scan_input", extra={**_ADJUSTED, "labels": _LABELS}))
 def top_hits(spark, sf):
-    hits = explore.top_hits(unadjusted_scan(spark, sf), 10)
-    ci = effects.format_ci(F.col("odds_ratio"), F.col("or_ci_low"), F.col("or_ci_high"))
-    return hits.select("strata", "model_spec_id", "outcome", "exposure_id", "n_cases",
-                       ci.alias("or_ci"), F.round("p_value", 6).alias("p_value"))
+    """The ten strongest results with labels and display forms."""
+    return explore.formatted_hits(unadjusted_scan(spark, sf), 10)
 
 
 @query("top_significant", with_tables("""
-select outcome, exposure_id, model_spec_id, round(p_value, 6) as p_value from scanned
-where p_adj_fdr < 0.9 order by scanned.p_value, model_spec_id, exposure_id, outcome limit 20""",
+select outcome, exposure_id, model_spec_id, round(odds_ratio, 6) as odds_ratio,
+  round(or_ci_low, 6) as or_ci_low, round(or_ci_high, 6) as or_ci_high,
+  round(p_value, 6) as p_value, round(p_adj_fdr, 6) as q_value from scanned
+where p_adj_fdr < 0.05 order by z desc, model_spec_id, exposure_id, outcome limit 20""",
     "scan_input", extra=_ADJUSTED))
 def top_significant(spark, sf):
-    """The leading results under a q limit (wide, as the check data holds no effects)."""
-    return explore.top_hits(unadjusted_scan(spark, sf), 20, q_below=0.9).select(
-        "outcome", "exposure_id", "model_spec_id", F.round("p_value", 6).alias("p_value"))
+    """The leading results with q below 0.05."""
+    return _round6(explore.top_hits(unadjusted_scan(spark, sf), 20, q_below=0.05)).select(
+        "outcome", "exposure_id", "model_spec_id", "odds_ratio", "or_ci_low", "or_ci_high",
+        "p_value", "q_value")
 
 
 @query("filtered_results", with_tables("""
@@ -416,8 +427,9 @@ def filtered_results(spark, sf):
 select bin, p_adj_fdr < 0.05 as significant, count(*) as n,
   round(any_value(lo + w * bin), 6) as bin_centre
 from (select *, cast(ceil((x - lo) / w - 0.5) as int) as bin from (
-  select *, min(x) over () as lo, (max(x) over () - min(x) over ()) / 29 as w
-  from (select *, log10(odds_ratio) as x from scanned)))
+  select *, min(x) over g as lo, case when max(x) over g > min(x) over g
+    then (max(x) over g - min(x) over g) / 29 else 0.1 end as w
+  from (select *, log10(odds_ratio) as x from scanned) window g as (partition by p_adj_fdr < 0.05)))
 group by 1, 2""", "scan_input", extra=_ADJUSTED))
 def odds_ratio_histogram(spark, sf):
     return explore.odds_ratio_histogram(unadjusted_scan(spark, sf)).withColumn(
@@ -448,13 +460,45 @@ def stamped_results(spark, sf):
 @query("results_csv", with_tables(f"""
 select outcome, exposure_id, n, n_cases, {', '.join(
     f'round({c}, 3) as {c}' for c in ('odds_ratio', 'or_ci_low', 'or_ci_high'))},
-  round(p_adj_fdr, 4) as q_value from scanned where strata = 'female'""",
+  printf('%.2e', p_value) as p_value,
+  round(p_adj_fdr, 4) as q_value from scanned""",
     "scan_input", extra=_ADJUSTED))
 def results_csv(spark, sf):
     """Filtered results in display form, exported to CSV and read back."""
-    kept = explore.filter_results(unadjusted_scan(spark, sf),
-                                  model_spec_id="logit_unadjusted_female")
+    kept = explore.filter_results(unadjusted_scan(spark, sf))
     path = tables.write_csv(explore.result_table(kept), scratch_path(spark, "results"))
     return spark.read.csv(path, header=True, schema=(
         "outcome string, exposure_id string, n long, n_cases long, odds_ratio double, "
-        "or_ci_low double, or_ci_high double, p_value string, q_value double")).drop("p_value")
+        "or_ci_low double, or_ci_high double, p_value string, q_value double"))
+
+
+@query("results_export", with_tables(
+    f"select {_KEYS}, {_six('estimate', 'se', 'odds_ratio', 'p_value', 'p_adj_fdr')}, "
+    "round(-log10(p_value), 4) as log10_p, p_adj_fdr < 0.05 as significant, "
+    "exposure_id || ' → ' || outcome as label from scanned", "scan_input", extra=_ADJUSTED))
+def results_export(spark, sf):
+    """All columns of the filtered results, unrounded, exported to CSV and read back."""
+    kept = explore.export_table(explore.filter_results(unadjusted_scan(spark, sf)))
+    path = tables.write_csv(kept, scratch_path(spark, "export"))
+    back = spark.read.csv(path, header=True, schema=kept.schema)
+    return _round6(back).select(*_KEY_LIST, "estimate", "se", "odds_ratio", "p_value", "p_adj_fdr",
+                                F.round("log10_p", 4).alias("log10_p"), "significant", "label")
+
+
+_SCANNED = f"select {_KEYS}, {_six('estimate', 'se', 'p_value', 'p_adj_fdr')} from scanned"
+
+
+@query("study_scan", with_tables(_SCANNED, "scan_input", extra=_ADJUSTED))
+def study_scan(spark, sf):
+    """The scan as a study runs it, from the cohort and the rollup."""
+    months = inputs.months_table(spark, sf)
+    found = scan.scan(months, inputs.person_rollup(spark, sf), specs=_SPECS_UNADJUSTED)
+    return _round6(found).select(*_KEY_LIST, "estimate", "se", "p_value", "p_adj_fdr")
+
+
+@query("joined_scan", with_tables(_SCANNED, "scan_input", extra=_ADJUSTED))
+def joined_scan(spark, sf):
+    """The same from person-months that carry exposures, with a model that cannot be fitted."""
+    broken = replace(_SPECS_UNADJUSTED[0], id="logit_broken", covariates=("no_such_column",))
+    found = scan.scan_joined(inputs.person_exposures(spark, sf), specs=[*_SPECS_UNADJUSTED, broken])
+    return _round6(found).select(*_KEY_LIST, "estimate", "se", "p_value", "p_adj_fdr")

@@ -20,7 +20,7 @@ VIEWS["v_visit"] = """
 select o_orderkey as visit_id, o_custkey as person_key,
   cast(year(o_orderdate) as int) as src_year,
   cast(month(o_orderdate) as int) as src_month,
-  case when c_nationkey % 2 = 1 and o_orderkey % 4 = 2 then 'J459' else case o_orderkey % 12
+  case when c_nationkey % 2 = 1 and o_orderkey % 35 < 4 then 'J459' else case o_orderkey % 12
     when 0 then '49390' when 1 then 'J459' when 2 then '4911' when 3 then 'J449'
     when 4 then '486' when 5 then 'J189' when 6 then '41401' when 7 then 'I639'
     when 8 then 'E119' when 9 then '650' when 10 then 'F329' else null end end as dx1,
@@ -45,7 +45,7 @@ with g as (
     cast(sum(cast(round(l_tax * 100) as bigint)) as double) / (count(*) * 100) as b,
     max(l_tax) as c,
     cast(sum(cast(round(l_quantity) as bigint)) as double) / (count(*) * 1000)
-      + (s_nationkey % 2) * cast(0.05 as double) as d,
+      + (s_nationkey % 2) * cast(0.001 as double) as d,
     max(l_extendedprice) as e, max(l_quantity) as f, min(l_quantity) as h
   from lineitem join supplier on l_suppkey = s_suppkey
   where s_nationkey <> 24
@@ -116,7 +116,7 @@ def _exposure_view(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
         "prop_light_coverage": hundredths("l_discount", 100, 100),
         "prop_med_coverage": hundredths("l_tax", 100, 100),
         "prop_heavy_coverage": F.max("l_tax"),
-        "dusmass25": hundredths("l_quantity", 1, 1000) + (F.first("s_nationkey") % 2) * F.lit(0.05),
+        "dusmass25": hundredths("l_quantity", 1, 1000) + (F.first("s_nationkey") % 2) * F.lit(0.001),
         "bcsmass": F.max("l_extendedprice"), "tmax": F.max("l_quantity"),
         "tmin": F.min("l_quantity")}
     grouped = (lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))

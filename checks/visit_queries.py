@@ -45,10 +45,11 @@ def bronze_visits_by_type(spark, sf):
 select db_type, case db_type
   when 'SID' then 'YEAR,AMONTH,DMONTH,KEY,VISITLINK,DX1,DX2,DX_ADMITTING,ECODE1,ECODE2,ZIP,HOSPST,HOSPSTCO,LOS,AGE,FEMALE,RACE'
   when 'SEDD' then 'year,admit_month,key,person_key,I10_DX1,I10_DX2,I10_DX_Visit_Reason1,I10_ECODE1,zip5,state,county,duration,AGE,FEMALE,RACE'
-  else 'YEAR,AMONTH,KEY,I10_DX1,DX2,dx_reason,ZIPCODE,AGE,FEMALE,RACE' end as columns
+  else 'YEAR,AMONTH,KEY,I10_DX1,DX2,dx_reason,ZIPCODE,AGE,FEMALE,RACE' end as columns,
+  case db_type when 'SID' then 3 when 'SEDD' then 2 else 1 end as n_files
 from v_visit group by db_type""", "v_visit"))
 def bronze_inventory(spark, sf):
-    return quality.bronze_inventory(spark, write_bronze(spark, sf)).drop("n_files")
+    return quality.bronze_inventory(spark, write_bronze(spark, sf))
 
 
 @query("harmonize_visits", with_tables(HARMONIZED_SQL, "v_visit"))
@@ -81,7 +82,7 @@ from v_visit""", "v_visit"))
 def padded_zip(spark, sf):
     """Zips stored as numbers get their leading zeros back."""
     raw = view(spark, sf, "v_visit").select(
-        F.col("visit_id").alias("KEY"), (F.col("zip5").cast("int") % 1000).alias("ZIP"))
+        F.col("visit_id").alias("KEY"), (F.col("zip5").cast("int") % 1000).cast("double").alias("ZIP"))
     return harmonize.normalize_visits(raw, "SID", inputs.SALT, pad_zip=True,
                                       column_map=layered_map("SID")).select(
         F.col("visit_id").cast("long").alias("visit_id"), "zip5")
@@ -105,6 +106,19 @@ def crosswalk_source(spark, sf):
     return tables.read_crosswalk(spark, path)
 
 
+def _crosswalk_as(fmt):
+    def run(spark, sf):
+        path = scratch_path(spark, "crosswalk")
+        view(spark, sf, "v_crosswalk").write.format(fmt).save(path)
+        return tables.read_crosswalk(spark, path, fmt)
+    return run
+
+
+for _fmt in ("json", "parquet"):
+    query(f"crosswalk_{_fmt}", with_tables("select zip, tract, res_ratio from v_crosswalk",
+                                           "v_crosswalk"))(_crosswalk_as(_fmt))
+
+
 @query("best_tract", with_tables("select * from best_tract", "best_tract"))
 def best_tract(spark, sf):
     return geocode.best_tract(view(spark, sf, "v_crosswalk"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import FEATURES, Feature
 from ..functions import effects
@@ -56,6 +56,16 @@ def result_table(results: DataFrame) -> DataFrame:
                     F.round("q_value", 4).alias("q_value")))
 
 
+def ranked(results: DataFrame) -> DataFrame:
+    """Results with their place, strongest first; a result table has one row per planned test."""
+    return results.withColumn("place", F.row_number().over(Window.orderBy(*strongest_first(results))))
+
+
+def export_table(results: DataFrame) -> DataFrame:
+    """Every column of filtered results, unrounded, strongest first."""
+    return results.orderBy(*strongest_first(results))
+
+
 def top_hits(results: DataFrame, k: int, *, q_below: float | None = None) -> DataFrame:
     """The k smallest p-values, optionally among significant results only."""
     if q_below is not None:

@@ -82,7 +82,7 @@ def cohort_summary(months: DataFrame) -> DataFrame:
 
 
 def daily_completeness(daily: DataFrame) -> DataFrame:
-    return daily.groupBy("exposure_id", "geo_type").agg(
+    return nan_to_null(daily).groupBy("exposure_id", "geo_type").agg(
         F.count(F.lit(1)).alias("n_obs"), F.count_distinct("geo_id").alias("n_geos"),
         F.min("obs_date").alias("min_date"), F.max("obs_date").alias("max_date"),
         F.avg("value").alias("mean_val"),
