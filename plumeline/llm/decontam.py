@@ -86,11 +86,12 @@ def _proposed(windows: list) -> Column:
 
 
 def _every_window(lengths: list[int], words: Column) -> Column:
-    size = F.size(words)
-    each = [F.when(size >= n, F.transform(
-        F.sequence(F.lit(0), size - n),
-        lambda s, n=n: F.struct(s.alias("start"), F.lit(n).alias("n")))) for n in lengths]
-    return F.concat(F.array().cast(_HITS), *[F.coalesce(e, F.array().cast(_HITS)) for e in each])
+    def starts(n: int) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda s: F.struct(
+            s.alias("start"), F.lit(n).alias("n")))
+        return F.when(F.size(words) >= n, each).otherwise(F.array().cast(_HITS))
+
+    return F.concat(F.array().cast(_HITS), *[starts(n) for n in lengths])
 
 
 def _with_hits(df: DataFrame, windows: DataFrame, small: bool) -> DataFrame:

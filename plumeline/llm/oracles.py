@@ -92,7 +92,7 @@ def _secrets_sql() -> str:
     harmless = ("(?i)example|placeholder|dummy|changeme|your[_-]",
                 "0123456789|12345678|abcdefgh|ABCDEFGH", repeated,
                 "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-                "//|^/?(?:[a-z0-9_-]+/){2,}")
+                "^//|^/?(?:[a-z0-9_-]+/){2,}")
     excused = " OR ".join(f"regexp_matches(found, '{h}')" for h in harmless)
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),

@@ -48,7 +48,7 @@ ALLOWED = (
     r"0123456789|12345678|abcdefgh|ABCDEFGH",
     r"(.)\1{7}",
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"//|^/?(?:[a-z0-9_-]+/){2,}",
+    r"^//|^/?(?:[a-z0-9_-]+/){2,}",
 )
 _SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
