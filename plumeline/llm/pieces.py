@@ -28,7 +28,7 @@ N_BEST = 4
 MARK = "▁"
 # Units up to this long are remembered, up to twice this many per worker.
 _CACHED_CHARS = 48
-_CACHED_UNITS = 250_000
+_CACHED_UNITS = 500_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 _NONE, _UNRANKED = -(1 << 60), -(10 ** 8)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+import tempfile
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path
 
@@ -30,12 +33,24 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder of ``spark.checkpoint.dir``.
+
+    A local session that names no such folder gets one of its own; a cluster
+    must name one, as its machines share no other.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plumeline-"))
+    return scratch_path(spark, name)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder.
 
     Later stages read the files, so a lost executor costs a task, not the
     lineage, and a table that is read twice is computed once.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..session import scratch_path
-from .text import whole, written
+from .text import shared_path, whole, written
 
 _CRLF = "\r\n"
 _END = b"\r\n\r\n"
@@ -221,7 +220,7 @@ def read_records(selected: DataFrame, *, payloads: bool = True) -> DataFrame:
 def archive_and_read(pages: DataFrame, *, payloads: bool = False) -> DataFrame:
     """Write ``pages`` to archives in the shared folder, index them, read all records back."""
     spark = pages.sparkSession
-    path = scratch_path(spark, "warc")
+    path = shared_path(spark, "warc")
     write_archives(pages, path)
     index = written(build_index(spark, path), "warc-index")
     return read_records(index, payloads=payloads)
