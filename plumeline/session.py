@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,29 +21,37 @@ RECOMMENDED = {
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables, taken from ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a temporary folder of its own: on a
-    cluster the executors would not see it.
-    """
+    """Shared folder for intermediate tables, as ``spark.checkpoint.dir`` names it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     configured = configured or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="plumeline-"))
-    return spark.sparkContext.getCheckpointDir()
+    if not configured:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
+    return configured
+
+
+def _application_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/plumeline-{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark).rstrip('/')}/plumeline/{name}-{uuid.uuid4().hex}"
+    return f"{_application_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application; results that read them end with it."""
+    _delete(spark, _application_root(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 
-    The result survives the loss of any executor and carries no lineage.
+    The result survives the loss of any executor and carries no lineage.  The
+    files stay until :func:`clear_scratch`, because the result reads them.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -60,5 +67,4 @@ def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+        _delete(spark, path)

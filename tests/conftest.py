@@ -8,13 +8,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[4]").appName("tests")
                .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", "6g").getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
 
