@@ -149,9 +149,12 @@ def drop_contaminated(df: DataFrame, benchmark: DataFrame, *, text: str = "text"
     keep = {f"_c{i}": df[c] for i, c in enumerate(names)}
     windows = benchmark_windows(benchmark, item_id=item_id, window=window)
     if windows.limit(max_set + 1).count() <= max_set:
+        # The row number in the filter keeps it above the split: pushed below, the words
+        # would be split anew for every window that is looked at.
         rows = df.select(*[c.alias(k) for k, c in keep.items()],
-                         raw_words(whole(text)).alias("_words"))
-        clean = _with_hits(rows, windows, True).filter(F.size("_at") == 0)
+                         raw_words(whole(text)).alias("_words"),
+                         F.monotonically_increasing_id().alias("_row"))
+        clean = _with_hits(rows, windows, True).filter((F.size("_at") == 0) & (F.col("_row") >= 0))
     else:
         clean = find_hits(df, benchmark, keep, text=text, item_id=item_id, window=window,
                           max_set=max_set).filter(F.size("hit_words") == 0)
