@@ -128,8 +128,7 @@ def near_links(fps: np.ndarray, buckets: np.ndarray, radius: int = RADIUS) -> li
     shift = 1
     while True:
         # Only buckets with more rows than the shift still have pairs to offer.
-        _, first, sizes = np.unique(buckets[rows], return_index=True, return_counts=True)
-        del first
+        _, sizes = np.unique(buckets[rows], return_counts=True)
         rows = rows[np.repeat(sizes > shift, sizes)]
         if not len(rows):
             return forest

@@ -41,12 +41,14 @@ def payload_digest(payload: Column) -> Column:
                        "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def _with_types(rows: DataFrame, min_revisit_bytes: int) -> DataFrame:
-    """Adds ``_first``: the largest page id among equal payloads, NULL if there is no other."""
+def _equal_payloads(rows: DataFrame, min_revisit_bytes: int) -> DataFrame:
+    """Payloads that occur more than once: ``_digest, _bytes, _first``, the largest page id of each.
+
+    Written, so that its size is known when the join is planned.
+    """
     equal = rows.filter(F.col("_bytes") >= min_revisit_bytes).groupBy("_digest", "_bytes").agg(
         F.count(F.lit(1)).alias("_n"), F.max("_page").alias("_first")).filter("_n > 1").drop("_n")
-    equal = written(equal, "equal-payloads")  # its size is known when the join is planned
-    return equal
+    return written(equal, "equal-payloads")
 
 
 def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url",
@@ -63,7 +65,7 @@ def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url
                         whole(pages[html]).alias("_html"))
     rows = rows.withColumns({"_bytes": F.octet_length("_html").cast("bigint"),
                              "_digest": payload_digest(F.col("_html"))})
-    equal = _with_types(rows.drop("_html", "_url"), min_revisit_bytes)
+    equal = _equal_payloads(rows.drop("_html", "_url"), min_revisit_bytes)
     rows = rows.join(equal, ["_digest", "_bytes"], "left")
     revisit = F.col("_first").isNotNull() & ~F.col("_page").eqNullSafe(F.col("_first"))
     body = F.concat(
