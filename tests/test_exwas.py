@@ -142,3 +142,23 @@ def test_missing_covariate_is_refused(spark):
     with pytest.raises(ValueError, match="zip5_cluster"):
         design.usable_specs(df, [LEGACY_MODEL_SPECS[2]])
     assert design.usable_specs(df, [LEGACY_MODEL_SPECS[1]]) == [LEGACY_MODEL_SPECS[1]]
+
+
+def test_every_exposure_found_is_scanned_and_bad_models_are_reported(spark):
+    from datetime import date
+
+    from plumeline.config import ModelSpec
+
+    rng = np.random.default_rng(8)
+    people = [(i, date(2014, 1, 1), float(i % 2), bool(rng.random() < 0.3)) for i in range(300)]
+    months = spark.createDataFrame(people, "person_id long, ym date, female double, asthma_flag boolean")
+    long = [(i, date(2014, 1, 1), e, "mean", float(rng.normal())) for i in range(300)
+            for e in ("pm25_dust", "no2_mean")] + [(300, date(2014, 1, 1), "no2_mean", "mean", float("nan"))]
+    rollup = spark.createDataFrame(long, "person_id long, ym date, exposure_id string, metric string, value double")
+    specs = [ModelSpec("logit_plain"), ModelSpec("logit_lost", covariates=("no_such",))]
+    with pytest.warns(UserWarning, match="no_such"):
+        got = scan.scan(months, rollup, specs=specs).collect()
+    assert sorted((r.exposure_id, r.model_spec_id, r.n) for r in got) == [
+        ("no2_mean", "logit_plain", 300), ("pm25_dust", "logit_plain", 300)]
+    with pytest.raises(ValueError, match="no model"):
+        scan.scan(months, rollup, specs=specs[1:])
