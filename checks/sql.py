@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from plumeline.config import EXPOSURE_VARIABLES, PHENOTYPES, feature_names
-
-from .inputs import EXPOSURE_NAMES, EXPOSURES, SALT
+from .inputs import EXPOSURES, SALT
 from .views import VIEWS
 
-FLAGS = [p.flag for p in PHENOTYPES]
-_flags = ",\n  ".join(
-    f"coalesce(regexp_matches(dx_primary, '^({'|'.join(p.icd9 + p.icd10)})'), false) as {p.flag}"
-    for p in PHENOTYPES)
+# Fixed values, spelled apart from the library's own configuration: code patterns
+# of each flag, and the variables with their public names.
+_CODES = {
+    "asthma_flag": "493|J45",
+    "copd_flag": "491|492|496|J44",
+    "respiratory_infection_flag": "46[0-6]|48[0-7]|J0[0-6]|J09|J1[0-8]|J2[0-2]",
+    "cardiovascular_flag": "41[0-4]|I2[0-5]",
+    "stroke_flag": "43[0-8]|I6[0-4]",
+    "diabetes_flag": "250|E10|E11|E13",
+    "pregnancy_flag": "6[3-7][0-9]|V22|V23|V24|V27|V28|O",
+    "mental_health_flag": "29[0-9]|30[0-9]|31[0-9]|F",
+}
+_NAMES = {
+    "prop_light_coverage": "hms_smoke_light", "prop_med_coverage": "hms_smoke_medium",
+    "prop_heavy_coverage": "hms_smoke_heavy", "dusmass25": "pm25_dust",
+    "bcsmass": "pm25_black_carbon", "tmax": "temp_maximum", "tmin": "temp_minimum",
+}
+FLAGS = list(_CODES)
+_flags = ",\n  ".join(f"coalesce(regexp_matches(dx_primary, '^({codes})'), false) as {flag}"
+                      for flag, codes in _CODES.items())
 _any = ",\n  ".join(f"bool_or({f}) as {f}" for f in FLAGS)
 _cells = ",\n  ".join(f"max(case when variable = '{v}' then value end) as {v}"
-                      for v in EXPOSURE_VARIABLES)
-_renamed = ", ".join(f"{v} as {n}" for v, n in EXPOSURE_NAMES.items())
+                      for v in _NAMES)
+_renamed = ", ".join(f"{v} as {n}" for v, n in _NAMES.items())
 _melted = "\nunion all ".join(
     f"select person_id, ym, '{n}' as exposure_id, 'mean' as metric, {v} as value "
     f"from person_exposures where {v} is not null"
-    for v, n in feature_names().items() if v in EXPOSURE_VARIABLES)
+    for v, n in _NAMES.items())
 
 # name -> (tables it reads, text)
 TABLES: dict[str, tuple[tuple[str, ...], str]] = {name: ((), sql) for name, sql in VIEWS.items()}
@@ -57,13 +71,13 @@ select * from v_exposure
 where try_cast(year as int) between greatest(1990, (select min(year) from person_month))
     and least(2024, (select max(year) from person_month))
   and geoid in (select distinct zip5 from person_month where zip5 is not null)
-  and variable in ({', '.join(f"'{v}'" for v in EXPOSURE_VARIABLES)})""")
+  and variable in ({', '.join(f"'{v}'" for v in _NAMES)})""")
 TABLES["exposure_wide"] = (("exposure_subset",), f"""
 select geoid as zip5, year, month,
   {_cells}
 from exposure_subset group by geoid, year, month""")
 TABLES["person_exposures"] = (("person_month", "exposure_wide"), f"""
-select p.* replace (cast(p.year as varchar) as year), {', '.join(EXPOSURE_VARIABLES)}
+select p.* replace (cast(p.year as varchar) as year), {', '.join(_NAMES)}
 from person_month p left join exposure_wide w
   on p.zip5 is not distinct from w.zip5 and cast(p.year as varchar) = w.year
     and p.month = w.month""")
