@@ -245,10 +245,15 @@ def keep_one(df: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFr
 
     Rows that repeat in every column count as one row.
     """
+    mark = F.xxhash64(*[df[c] for c in df.columns])
+    return keep_first(df, near_duplicates(df, {"_key": df[id], "_mark": mark}, id=id, text=text), "component_id", id=id)
+
+
+def keep_first(df: DataFrame, found: DataFrame, group: str, *, id: str = "doc_id") -> DataFrame:
+    """The row of ``df`` with the smallest id of each ``group`` of ``found`` (_key, _mark: id and hash of a row)."""
     names = df.columns
     mark = F.xxhash64(*[df[c] for c in names])
-    found = near_duplicates(df, {"_key": df[id], "_mark": mark}, id=id, text=text)
-    best = found.groupBy("component_id").agg(F.min(F.struct(
+    best = found.groupBy(group).agg(F.min(F.struct(
         F.col("_key").isNull().alias("unknown"), "_key", "_mark")).alias("best"))
     best = written(best.select(F.col("best._key").alias("_key"), F.col("best._mark").alias("_mark")), "kept")
     rows = df.select(*[df[c].alias(f"_c{i}") for i, c in enumerate(names)],

@@ -1,0 +1,59 @@
+import numpy as np
+
+from plumeline.llm import near, simhash
+
+
+def words(seed, n=120):
+    return [f"w{i}" for i in np.random.default_rng(seed).integers(0, 5000, n)]
+
+
+def sets(text):
+    w = text.lower().split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+def kept(rows, least=0.8):
+    """Smallest ids of the groups, by comparing every pair."""
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        return i if root[i] == i else top(root[i])
+
+    for i, a in rows:
+        for j, b in rows:
+            if i < j and len(sets(a) & sets(b)) / len(sets(a) | sets(b)) >= least:
+                x, y = sorted((top(i), top(j)))
+                root[y] = x
+    return sorted(i for i in root if root[i] == i)
+
+
+def test_similarity_of_eight_tenths(spark):
+    rows = []
+    for i in range(40):
+        first = words(i)
+        second = list(first)
+        for k in range(1 + i % 4):  # each replaced word changes five shingles
+            second[20 + 25 * k] = f"x{i}"
+        rows += [(2 * i, " ".join(first)), (2 * i + 1, " ".join(second).upper())]
+    # Chains: neighbours are similar, ends are not.
+    chain = words(999)
+    for i in range(6):
+        rows.append((100 + i, " ".join(chain[i * 4:i * 4 + 90])))
+    rows += [(200, "one two three"), (201, "One two  three"), (202, ""), (203, " ")]
+    wide = [bin((simhash.fingerprint(a) ^ simhash.fingerprint(b)) & (2**64 - 1)).count("1")
+            for (_, a), (_, b) in zip(rows[:80:2], rows[1:80:2])
+            if len(sets(a) & sets(b)) / len(sets(a) | sets(b)) >= 0.8]
+    assert max(wide) > simhash.RADIUS  # what a radius of 4 leaves in
+    got = sorted(r.doc_id for r in near.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == kept(rows)
+
+
+def test_pipeline_stage(spark):
+    from corpus_pipeline import near_duplicates
+
+    first = words(5)
+    second = list(first)
+    second[20] = second[60] = "changed"
+    df = spark.createDataFrame([(1, " ".join(first), "a"), (2, " ".join(second), "a"), (3, None, "a"), (3, None, "a")],
+                               "doc_id long, text string, source string")
+    assert sorted(r.doc_id for r in near_duplicates(spark, df, "").collect()) == [1, 3]
