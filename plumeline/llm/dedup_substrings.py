@@ -34,7 +34,8 @@ ANCHOR = 64
 # Anchors with more kinds of surroundings are sorted in blocks of about this many.
 BLOCK = 4096
 _SEGMENT = 1 << 20  # bytes hashed at a time
-_LOW = np.uint64((1 << 20) - 1)
+# Low bits hold a position; a segment and the window that overlaps its end fit.
+_LOW = np.uint64((1 << 22) - 1)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _ANCHORS = "array<struct<pos:bigint,lo:int,hi:int,anchor:bigint,around:bigint>>"
 
@@ -44,6 +45,8 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     windows = len(data) - length + 1
     if windows <= 0:
         return tuple(np.empty(0, np.int64) for _ in range(5))
+    if len(data) - gram > int(_LOW):
+        raise ValueError(f"{len(data)} bytes have more positions than the low bits hold")
     text = Hashed(data)
     at = np.arange(len(data) - gram + 1)
     grams = text.hash(at, gram)
