@@ -8,6 +8,7 @@ All counts are integers (entropy terms in millionths), so results are exact.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import log2
 
@@ -42,13 +43,19 @@ CLASSES = (
                  needs=("[0-9]", "[A-Z]", "[a-z]")),
 )
 KINDS = ("assign", "access", "hex", *[c.kind for c in CLASSES])
-# Runs that look random but are known to be harmless.
-ALLOWED = (
+_UUID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+# Words and numbers joined by - or _; possessive, so that a run of any length is read in one pass.
+_WORD = r"(?:[A-Z]?[a-z]{2,}+[0-9]{0,4}+|[a-z]|[0-9]{1,8}+)"
+_SEGMENT = rf"(?:{_UUID}|{_WORD}(?:[_-]++{_WORD})*+)"
+# Runs that look random but are known to be harmless as a whole.
+ALLOWED = (rf"^{_UUID}$",)
+# Parts of a run that excuse the windows inside them: segments of a path.
+ALLOWED_AROUND = (rf"(?<![^/])(?:{_SEGMENT}?+/)++(?:{_SEGMENT}(?![^/]))?+",)
+# What excuses the windows that hold it, and no other.
+ALLOWED_INSIDE = (
     r"(?i)example|placeholder|dummy|changeme|your[_-]",
     r"0123456789|12345678|abcdefgh|ABCDEFGH",
     r"(.)\1{7}",
-    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
-    r"^//|^/?(?:[a-z0-9_-]+/){2,}",
 )
 _SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
@@ -118,11 +125,28 @@ def _let(value: Column, body) -> Column:
 def _windows(run: Column, cls: EntropyClass) -> Column:
     codes = F.transform(F.split(run, "", -1), lambda c: F.call_function(
         "locate", c, F.lit(cls.alphabet)) - 1)
-    return _let(codes, lambda symbols: _suspicious_windows(symbols, F.length(run), cls))
+    return _let(codes, lambda symbols: _let(_harmless_parts(run), lambda parts: _suspicious_windows(
+        symbols, F.length(run), cls, lambda begin: _excused(run, parts, begin, cls.window))))
 
 
-def _suspicious_windows(symbols: Column, length: Column, cls: EntropyClass) -> Column:
-    """Merged (start, end) of the run's suspicious windows.
+def _harmless_parts(run: Column) -> Column:
+    """(start, found) of the parts of a run that excuse the windows inside them."""
+    return F.concat(*[_located(run, pattern) for pattern in ALLOWED_AROUND])
+
+
+def _excused(run: Column, parts: Column, begin: Column, window: int) -> Column:
+    """Does the allow-list excuse the window that starts at ``begin``?"""
+    within = F.exists(parts, lambda p: (p["start"] <= begin) & (
+        begin + window <= p["start"] + F.length(p["found"])))
+    own = F.substring(run, begin + 1, F.lit(window))
+    for harmless in ALLOWED_INSIDE:
+        within = within | own.rlike(harmless)
+    return within
+
+
+def _suspicious_windows(symbols: Column, length: Column, cls: EntropyClass,
+                        excused: Callable[[Column], Column]) -> Column:
+    """Merged (start, end) of the run's suspicious windows that are not ``excused``.
 
     One fold over the run: the entering and the leaving symbol change two
     counts, and the sum of c * log2(c) follows from those two.
@@ -145,8 +169,8 @@ def _suspicious_windows(symbols: Column, length: Column, cls: EntropyClass) -> C
         counts = F.transform(grown, lambda c, k: c - (k == leaving).cast("int"))
         total = F.when(leaving < 0, total).otherwise(
             total - F.get(terms, gone) + F.get(terms, F.greatest(gone - 1, F.lit(0))))
-        hit = (i >= w - 1) & (total <= limit)
         begin = i - (w - 1)
+        hit = (i >= w - 1) & (total <= limit) & ~excused(begin)
         joins = (acc["end"] >= 0) & (begin <= acc["end"])
         closed = F.when(hit & ~joins & (acc["end"] >= 0), F.concat(acc["done"], F.array(F.struct(
             acc["start"].alias("start"), acc["end"].alias("end"))))).otherwise(acc["done"])
@@ -164,7 +188,7 @@ def _suspicious_windows(symbols: Column, length: Column, cls: EntropyClass) -> C
 
 def entropy_spans(text: Column, classes: tuple[EntropyClass, ...] = CLASSES,
                   allowed: tuple[str, ...] = ALLOWED) -> Column:
-    """Spans of suspicious windows in runs of each class that no allow-list entry excuses."""
+    """Spans of suspicious windows in runs of each class; the allow-list excuses windows, not their runs."""
     def of(cls: EntropyClass) -> Column:
         inside = "[" + cls.alphabet.replace("-", r"\-") + "]"
         runs = _located(text, f"(?<!{inside}){inside}{{{cls.window},}}+")
