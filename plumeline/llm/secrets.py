@@ -41,6 +41,9 @@ CLASSES = (
     EntropyClass("entropy_hex", _DIGITS + "abcdefABCDEF", 3.0, needs=("[0-9]", "[a-fA-F]")),
     EntropyClass("entropy_base64", _UPPER + _LOWER + _DIGITS + "+/_=-", 3.9,
                  needs=("[0-9]", "[A-Z]", "[a-z]")),
+    # One case and digits, past what hex holds; fewer symbols give lower entropies.
+    EntropyClass("entropy_lower", _LOWER + _DIGITS, 3.6, needs=("[0-9]", "[g-z]")),
+    EntropyClass("entropy_upper", _UPPER + _DIGITS, 3.5, needs=("[0-9]", "[G-Z]")),
 )
 KINDS = ("assign", "access", "hex", *[c.kind for c in CLASSES])
 _UUID = r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"

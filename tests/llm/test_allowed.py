@@ -27,3 +27,14 @@ def test_the_allow_list_excuses_parts_only(spark):
 def test_long_paths_are_read_in_one_pass(spark):
     path = "some/Path12/" * 20_000
     assert [k for _, k in found(spark, [path + TOKEN])[path + TOKEN]] == ["entropy_base64"]
+
+
+def test_tokens_of_one_case(spark):
+    lower, upper = "x7k2m9q4w8z1p5r3t6v0b8n2", "GEZDGNBVGY3TQOJQMFRGK7DBOR"
+    texts = [f"use {lower} now", f"key {upper};", f"https://a.org/files/{lower}/x", "counterrevolutionaries 20240517123456789012",
+             "A" * 20 + "7Z", "deadbeefdeadbeef0123"]
+    spans = found(spark, texts)
+    assert (lower, "entropy_lower") in spans[texts[0]] and (lower, "entropy_lower") in spans[texts[2]]
+    assert spans[texts[1]] and {k for _, k in spans[texts[1]]} == {"entropy_upper"}
+    assert not spans[texts[3]] and not spans[texts[4]]
+    assert all(k == "entropy_hex" for _, k in spans[texts[5]])
