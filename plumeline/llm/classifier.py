@@ -7,6 +7,9 @@ path's rate is shrunk toward its host's and a host's toward the global one, each
 with a strength fitted to how much the groups really differ.  The prior log-odds
 of a document's path then join the document's evidence.
 
+Documents have no path column: the language stands in for it unless another
+column is named.
+
 The model is fitted on a sample of labelled rows of bounded size; every other
 count covers the whole corpus and is one grouped aggregation.
 """
