@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumeline.llm import decontam, near, pieces, quality, secrets
+from plumeline.llm import decontam, pieces, quality, secrets, simhash
 from plumeline.llm.text import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group that shares 0.8 or more of its five-word shingles."""
-    return near.keep_one(docs)
+    """Keep the document with the smallest id of each group of SimHash neighbours (four-word shingles, four bits)."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
