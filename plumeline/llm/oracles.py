@@ -146,3 +146,39 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> last THEN last END AS refers_to FROM b
 """
+
+# CRC-32 (reflected polynomial 0xEDB88320) of the decimal id: each byte, then eight shifts.
+ORACLES["op12_periodic_runs"] = r"""
+WITH s AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+    string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END)) AS h
+  FROM documents),
+g AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, (h // 10) AS g,
+  CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM s),
+p AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+word AS (SELECT doc_id, n, i, CASE WHEN planted AND i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word
+  FROM (SELECT *, unnest(range(n)) AS i FROM p)),
+-- A run has at least three neighbouring places i with equal words at i and i + q.
+gram AS (SELECT doc_id, n, i, word, lead(word) OVER d AS b, lead(word, 2) OVER d AS c
+  FROM word WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+equal AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM gram x JOIN gram y
+  ON x.doc_id = y.doc_id AND x.word = y.word AND x.b = y.b AND x.c = y.c
+  AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+stretch AS (SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 3 + q AS length FROM (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal)
+  GROUP BY doc_id, q, island),
+run AS (SELECT doc_id, start, length, min(q) AS period FROM stretch
+  WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+listed AS (SELECT doc_id, count(*) AS n_runs,
+  string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM run GROUP BY doc_id),
+best AS (SELECT doc_id, start, length, period FROM run r QUALIFY row_number() OVER (
+  PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+rest AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM word ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT s.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
+  length * 1000 // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(words, '')) AS collapsed_sha256
+FROM s LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)
+"""

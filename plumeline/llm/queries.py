@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import classifier, decontam, dedup_substrings, html, pieces, quality, secrets, sharding, simhash, warc
+from . import (classifier, decontam, dedup_substrings, html, periodic, pieces, quality, secrets, sharding, simhash,
+               warc)
 from .oracles import ORACLES  # noqa: F401
+from .text import space_words, whole
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -109,3 +111,34 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "p_quality", "p_toxic", F.col("host_quality").alias("host_rate"),
         F.col("path_quality").alias("path_rate"), (F.col("p_toxic") >= 0.5).alias("toxic"),
         ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept"))
+
+
+def _with_planted_runs(text, doc_id):
+    """The texts in which every tenth document repeats a stretch of its own words to its end."""
+    code = F.crc32(doc_id.cast("string").cast("binary"))
+    given = F.struct(space_words(whole(text)).alias("words"), F.floor(code / 10).alias("g"))
+
+    def repeated(x):
+        n = F.size(x["words"])
+        a = (x["g"] % n).cast("int")
+        p = 1 + F.floor((n - a) / (3 + x["g"] % 8)).cast("int")
+        return F.when(n == 0, "").otherwise(F.array_join(F.transform(
+            F.sequence(F.lit(0), n - 1),
+            lambda i: F.get(x["words"], F.when(i < a, i).otherwise(a + (i - a) % p))), " "))
+
+    # One element, so that the words are split once and not once for each word.
+    planted = F.get(F.transform(F.array(given), repeated), F.lit(0))
+    return F.when(code % 10 == 0, planted).otherwise(text)
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its runs of repeated phrases, the strongest, and the text without the repeats."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.find_runs(docs, {"doc_id": docs.doc_id}, text=_with_planted_runs(docs.text, docs.doc_id))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return found.withColumn("best", periodic.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
