@@ -182,3 +182,18 @@ SELECT s.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period,
   sha256(coalesce(words, '')) AS collapsed_sha256
 FROM s LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
+
+ORACLES["op11_substring_dedup"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, sha256(array_to_string(list_slice(w, i, i + 49), ' ')) AS win FROM (
+  SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+later AS (SELECT doc_id, i FROM (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS least FROM windows) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM later),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS words
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(words, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

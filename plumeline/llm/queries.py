@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (classifier, decontam, dedup_substrings, html, periodic, pieces, quality, secrets, sharding, simhash,
+from . import (classifier, decontam, dedup_substrings, html, passages, periodic, pieces, quality, secrets, sharding, simhash,
                warc)
 from .oracles import ORACLES  # noqa: F401
 from .text import space_words, whole
@@ -113,6 +113,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept"))
 
 
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: words, words of passages that an earlier document holds, digest of what is kept."""
+    docs = table(spark, sf_dir, "documents")
+    return passages.remove_passages(docs, {"doc_id": docs.doc_id}).drop("repeats")
+
+
 def _with_planted_runs(text, doc_id):
     """The texts in which every tenth document repeats a stretch of its own words to its end."""
     code = F.crc32(doc_id.cast("string").cast("binary"))
