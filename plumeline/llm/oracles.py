@@ -197,3 +197,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_r
   sha256(coalesce(words, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+ORACLES["op13_collocations"] = r"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece),
+gram AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_slice(w, i, i + k - 1))) AS g
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, g, count(*) AS a FROM gram GROUP BY lang, k, g HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+cut AS (SELECT c.lang, c.k, c.g, c.a, i AS cut, x.a AS l, y.a AS r,
+    CAST((2000000::HUGEINT * c.a) // (x.a::HUGEINT + y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM f WHERE k > 1) c
+  JOIN f x ON x.lang = c.lang AND x.g = list_slice(c.g, 1, i)
+  JOIN f y ON y.lang = c.lang AND y.g = list_slice(c.g, i + 1, c.k)),
+weak AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+part AS (SELECT lang, a, k, len, unnest(list_transform(range(1, k - len + 2), lambda i: list_slice(g, i, i + len - 1))) AS g
+  FROM (SELECT *, unnest(range(2, k)) AS len FROM f WHERE k > 2)),
+inside AS (SELECT DISTINCT weak.lang, weak.g FROM weak JOIN part ON part.lang = weak.lang AND part.g = weak.g
+  WHERE 100 * part.a >= 80 * weak.a),
+ranked AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score, row_number() OVER (
+    PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank
+  FROM weak ANTI JOIN inside USING (lang, g))
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""

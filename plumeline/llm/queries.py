@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import (classifier, decontam, dedup_substrings, html, passages, periodic, pieces, quality, secrets, sharding, simhash,
-               warc)
+from . import (classifier, collocations, decontam, dedup_substrings, html, passages, periodic, pieces, quality, secrets,
+               sharding, simhash, warc)
 from .oracles import ORACLES  # noqa: F401
 from .text import space_words, whole
 
@@ -149,3 +149,9 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
         F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language: its strongest phrases of two to four words."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
