@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..config import ModelSpec
 
+# A factor with more levels is absorbed, see `absorb`; its levels never reach the driver.
+WIDE_LEVELS = 200
+
 STRATA: dict[str, float | None] = {"all": None, "male": 0.0, "female": 1.0}
 
 
@@ -45,11 +48,14 @@ def is_factor(df: DataFrame, spec: ModelSpec, name: str) -> bool:
     return name in spec.factors or isinstance(df.schema[name].dataType, T.StringType)
 
 
-def factor_levels(df: DataFrame, name: str) -> list[str]:
-    """Sorted levels of a categorical covariate; they become columns of the design."""
-    rows = (df.select(F.col(name).cast("string").alias("level")).distinct()
-            .filter(F.col("level").isNotNull()).collect())
-    return sorted(r.level for r in rows)
+def factor_levels(df: DataFrame, name: str, most: int = WIDE_LEVELS) -> list[str] | None:
+    """Sorted levels of a categorical covariate; they become columns of the design.
+
+    None if there are more than ``most``; no more than that are ever fetched.
+    """
+    rows = (df.select(F.col(name).cast("string").alias("level")).filter(F.col("level").isNotNull())
+            .distinct().limit(most + 1).collect())
+    return sorted(r.level for r in rows) if len(rows) <= most else None
 
 
 @dataclass(frozen=True)
@@ -58,16 +64,23 @@ class Design:
 
     ``factor_slices`` holds, per factor, the positions of its indicator columns
     in the full design, needed to see how many levels a fit really has.
+    ``absorbed`` names the factor that is eliminated instead, if there is one.
     """
 
     spec: ModelSpec
     columns: tuple[str, ...]
     factor_slices: tuple[tuple[int, ...], ...]
+    absorbed: str | None = None
 
     @property
     def width(self) -> int:
         return 2 + len(self.columns)
 
+    @property
+    def exposure_at(self) -> int:
+        """Place of the exposure's coefficient: an absorbed factor takes the intercept with it."""
+        return 0 if self.absorbed else 1
+
 
 @dataclass(frozen=True)
 class DesignColumns:
@@ -78,23 +91,29 @@ class DesignColumns:
 
 
 def build_designs(df: DataFrame, specs: Sequence[ModelSpec],
-                  centre: dict[str, tuple[float, float]]) -> DesignColumns:
+                  centre: dict[str, tuple[float, float]], wide_levels: int = WIDE_LEVELS) -> DesignColumns:
     """Design columns per spec.
 
     Numeric covariates are centred and scaled, which changes no exposure
     estimate but keeps the normal equations well conditioned.  A factor gets
-    one indicator per level but the first.
+    one indicator per level but the first, or is absorbed if it has more than
+    ``wide_levels`` levels.  One factor of a spec can be; a spec with a second
+    one is reported and left out.
     """
     expressions: dict[str, Column] = {}
-    levels: dict[str, list[str]] = {}
+    levels: dict[str, list[str] | None] = {}
     designs = []
     for spec in specs:
         columns: list[str] = []
         slices: list[tuple[int, ...]] = []
+        wide: list[str] = []
         for name in spec.covariates:
             if is_factor(df, spec, name):
                 if name not in levels:
-                    levels[name] = factor_levels(df, name)
+                    levels[name] = factor_levels(df, name, wide_levels)
+                if levels[name] is None:
+                    wide.append(name)
+                    continue
                 names = [f"{name}={level}" for level in levels[name][1:]]
                 for column, level in zip(names, levels[name][1:]):
                     expressions[column] = (F.col(name).cast("string") == level).cast("double")
@@ -107,7 +126,10 @@ def build_designs(df: DataFrame, specs: Sequence[ModelSpec],
                 mean, spread = centre[name]
                 expressions[name] = (F.col(name).cast("double") - mean) / spread
                 columns.append(name)
-        designs.append(Design(spec, tuple(columns), tuple(slices)))
+        if len(wide) > 1:
+            warnings.warn(f"left out: model {spec.id} has several wide factors {wide}", stacklevel=3)
+            continue
+        designs.append(Design(spec, tuple(columns), tuple(slices), wide[0] if wide else None))
     return DesignColumns(expressions, tuple(designs))
 
 

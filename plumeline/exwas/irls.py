@@ -84,14 +84,18 @@ class Fit:
     converged: bool = False
 
 
-def solve(gram: np.ndarray, rhs: np.ndarray) -> tuple[np.ndarray, float] | None:
+def solve(gram: np.ndarray, rhs: np.ndarray, lengths: np.ndarray | None = None,
+          target: int = 1) -> tuple[np.ndarray, float] | None:
     """Least-squares coefficients and the unscaled variance of the exposure.
 
     Columns are taken in order and one that depends on the earlier ones is
     left out with coefficient 0, so a redundant covariate never displaces the
-    exposure.  None if the exposure itself is redundant.
+    exposure.  None if the exposure itself is redundant.  ``lengths`` are the
+    squared lengths of the columns where ``gram`` has lost a part of them, and
+    ``target`` is the exposure's place.
     """
     p = len(rhs)
+    lengths = np.diag(gram) if lengths is None else lengths
     lower = np.zeros((p, p))
     kept: list[int] = []
     for j in range(p):
@@ -100,17 +104,17 @@ def solve(gram: np.ndarray, rhs: np.ndarray) -> tuple[np.ndarray, float] | None:
         for i, column in enumerate(kept):
             row[i] = (gram[j, column] - lower[i, :i] @ row[:i]) / lower[i, i]
         rest = gram[j, j] - row @ row
-        if gram[j, j] > 0 and rest > ALIASED * gram[j, j]:
+        if gram[j, j] > 0 and rest > ALIASED * lengths[j]:
             lower[k, :k], lower[k, k] = row, math.sqrt(rest)
             kept.append(j)
-    if 1 not in kept:
+    if target not in kept:
         return None
     k = len(kept)
     inverse = np.linalg.inv(lower[:k, :k])
     covariance = inverse.T @ inverse
     beta = np.zeros(p)
     beta[kept] = covariance @ rhs[kept]
-    at = kept.index(1)
+    at = kept.index(target)
     return beta, covariance[at, at]
 
 

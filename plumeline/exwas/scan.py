@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from contextlib import ExitStack
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import FEATURES, MODEL_SPECS, Feature, ModelSpec
 from ..functions import effects
@@ -16,7 +16,7 @@ from ..operators.cohort import flag_columns
 from ..operators.ranks import adjust_p
 from ..operators.rollup import attach_rollup, available_features
 from ..session import scratch_table
-from . import design, irls
+from . import absorb, design, irls
 
 _FIT_SCHEMA = ("outcome string, exposure_id string, model_spec_id string, strata string, "
                "n long, n_cases long, n_fit long, estimate double, se double, z_value double, "
@@ -98,12 +98,14 @@ def _centres(patterns: DataFrame, names: Sequence[str]) -> dict[str, tuple[float
 
 
 def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str],
-               specs: Sequence[ModelSpec] = MODEL_SPECS, gate: irls.Gate = irls.Gate()) -> DataFrame:
+               specs: Sequence[ModelSpec] = MODEL_SPECS, gate: irls.Gate = irls.Gate(),
+               wide_levels: int = design.WIDE_LEVELS) -> DataFrame:
     """Fit every test and return the exposure term of each that has one.
 
     Person-months are reduced to covariate patterns once and written to the
     shared folder; coarser pattern tables for simpler models derive from finer
-    ones.  Every pass after that reads those tables only.
+    ones.  Every pass after that reads those tables only.  A factor of more than
+    ``wide_levels`` levels is absorbed; the results are the same.
     """
     if not exposures or not outcomes:
         raise ValueError("no exposures or outcomes found")
@@ -125,8 +127,8 @@ def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str
         centre = _centres(finest, [*exposures, *[
             c for c in everything
             if not any(c in s.covariates and design.is_factor(wide, s, c) for s in specs)]])
-        built = design.build_designs(finest, specs, centre)
-        tables = {}
+        built = design.build_designs(finest, specs, centre, wide_levels)
+        tables, wide_tables = {}, []
         for home in dict.fromkeys(homes.values()):
             mine = [d for d in built.designs if homes[design.pattern_columns(d.spec)] == home]
             patterns = finest
@@ -134,23 +136,39 @@ def fit_models(wide: DataFrame, exposures: Sequence[str], outcomes: Sequence[str
                 patterns = stack.enter_context(scratch_table(
                     design.fewer_patterns(finest, exposures, outcomes, sorted(home)),
                     "patterns"))
-            columns = tuple(dict.fromkeys(c for d in mine for c in d.columns))
-            layout = irls.PatternLayout(tuple(exposures), columns, tuple(outcomes))
             sex = F.col("female").cast("double") if "female" in home else F.lit(None).cast("double")
-            numeric = patterns.select(
-                *[((F.col(e) - centre[e][0]) / centre[e][1]).alias(f"x|{e}") for e in exposures],
-                *[built.expressions[c].alias(f"d|{c}") for c in columns], sex.alias("sex"),
-                *[F.col(f"{kind}|{o}").cast("double").alias(f"{kind}|{o}")
-                  for kind in "nk" for o in outcomes])
-            tables[frozenset(d.spec.id for d in mine)] = (numeric, layout)
+
+            def numeric(columns: Sequence[str]) -> list[Column]:
+                return [*[((F.col(e) - centre[e][0]) / centre[e][1]).alias(f"x|{e}") for e in exposures],
+                        *[built.expressions[c].alias(f"d|{c}") for c in columns], sex.alias("sex"),
+                        *[F.col(f"{kind}|{o}").cast("double").alias(f"{kind}|{o}")
+                          for kind in "nk" for o in outcomes]]
+
+            narrow = [d for d in mine if d.absorbed is None]
+            if narrow:
+                columns = tuple(dict.fromkeys(c for d in narrow for c in d.columns))
+                layout = irls.PatternLayout(tuple(exposures), columns, tuple(outcomes))
+                tables[frozenset(d.spec.id for d in narrow)] = (patterns.select(*numeric(columns)), layout)
+            for d in mine:
+                if d.absorbed is None:
+                    continue
+                level = F.col(d.absorbed).cast("string").alias("level")
+                # Rows of a level stand together, and a level with many may take several ranges.
+                rows = patterns.select(*numeric(d.columns), level)
+                rows = rows.repartitionByRange("level", F.xxhash64(*rows.drop("level").columns))
+                rows = stack.enter_context(scratch_table(rows.sortWithinPartitions("level"), "by-level"))
+                wide_tables.append((d, rows, irls.PatternLayout(tuple(exposures), d.columns, tuple(outcomes))))
 
         fits = [irls.Fit(i, d, e, o) for i, (d, e, o) in enumerate(
             (d, e, o) for d in built.designs for e in exposures for o in outcomes)]
-        done = irls.fit_all(tables, fits, gate)
+        narrow_fits = [f for f in fits if f.design.absorbed is None]
+        done = irls.fit_all(tables, narrow_fits, gate) if narrow_fits else []
+        for d, rows, layout in wide_tables:
+            done += absorb.fit_absorbed(rows, layout, d, [f for f in fits if f.design is d], gate)
 
     rows = []
     for fit in sorted(done, key=lambda f: f.index):
-        estimate = float(fit.beta[1]) * fit.spread
+        estimate = float(fit.beta[fit.design.exposure_at]) * fit.spread
         se = math.sqrt(fit.variance) * fit.spread
         z = estimate / se
         p, log_p = two_sided_p(z)
