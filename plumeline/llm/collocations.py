@@ -23,6 +23,7 @@ one-word extensions decide whether a phrase only lives inside a longer one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -34,11 +35,12 @@ from .text import whole, written
 MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 21
 SCALE = 2_000_000
 INSIDE_PERCENT = 80
 UNKNOWN_LANG = "und"
 _SALTS = 256
+_ROWS = 1 << 16  # rows sent at a time
 _PLACES = 31  # bits of a place in a shard's list
 _SHARDS = 12  # bits of a shard's number in its task
 # Characters that end a piece of text.
@@ -86,11 +88,10 @@ def shards(df: DataFrame, lang: Column, text: Column, shard_words: int) -> DataF
             made += 1
             ids = np.concatenate(buffer.parts)
             counts = np.bincount(ids, minlength=len(buffer.words)).astype(np.int32)
-            packed = pa.compress(ids.tobytes(), codec="zstd", asbytes=True)
             return pa.RecordBatch.from_arrays(
                 [pa.array([shard], pa.int64()), pa.array([lang]), pa.array([list(buffer.words)[1:]], pa.list_(pa.binary())),
                  pa.array([counts[1:]], pa.list_(pa.int32())), pa.array([len(ids)], pa.int32()),
-                 pa.array([packed], pa.binary())], names=["shard", "lang", "words", "counts", "size", "ids"])
+                 pa.array([_packed(ids)], pa.binary())], names=["shard", "lang", "words", "counts", "size", "ids"])
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -119,85 +120,132 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class _Way:
-    """One direction of the index: the word before each suffix, and ranks in that sequence."""
+    """One direction of the index: the word before each suffix, in suffix order."""
 
     def __init__(self, text: np.ndarray, begins: np.ndarray) -> None:
-        self.n, self.begins = len(text), begins
+        self.begins = begins
         self.before = text[suffix_order(text, MAX_WORDS) - 1]  # text begins and ends with a break
-        order = np.argsort(self.before, kind="stable")
-        self.sorted = self.before[order].astype(np.int64) * self.n + order
 
     def grow(self, low: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(interval, word, low, count, number of smaller words) of each one-word extension."""
-        which = np.repeat(np.arange(len(low)), count)
-        at = np.arange(len(which)) + np.repeat(low - np.cumsum(count) + count, count)
-        keys, n = np.unique(which * len(self.begins) + self.before[at], return_counts=True)
-        parent, word = np.divmod(keys, len(self.begins))
-        past = np.cumsum(n) - n
-        smaller = past - past[np.searchsorted(parent, parent)]
+        """(interval, word, count, number of smaller words) of each one-word extension."""
+        which = np.repeat(np.arange(len(low), dtype=np.int32), count)
+        at = np.arange(len(which), dtype=np.int32)
+        at += np.repeat((low - np.cumsum(count) + count).astype(np.int32), count)
+        keys = which.astype(np.int64)
+        del which
+        keys *= len(self.begins)
+        keys += self.before[at]
+        del at
+        keys.sort()
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][:len(keys)])
+        n = np.diff(np.r_[first, len(keys)])
+        parent, word = np.divmod(keys[first], len(self.begins))
+        smaller = first - first[np.searchsorted(parent, parent)]
         kept = np.flatnonzero(word)
-        parent, word, n, smaller = parent[kept], word[kept], n[kept], smaller[kept]
-        rank = np.searchsorted(self.sorted, word * self.n + low[parent])  # all smaller words included
-        return parent, word, rank, n, smaller
+        return parent[kept], word[kept], n[kept], smaller[kept]
+
+    def rank(self, word: np.ndarray, low: np.ndarray) -> np.ndarray:
+        """Where the intervals of these words before what the intervals at ``low`` begin with start."""
+        order = np.argsort(self.before, kind="stable")
+        places = self.before[order].astype(np.int64)
+        places *= len(order)
+        places += order
+        return np.searchsorted(places, word * len(order) + low)  # counts all smaller words too
+
+
+def reduced(ids: np.ndarray, live: np.ndarray) -> np.ndarray:
+    """A shard's text in its frequent words (places in ``live``), one break between pieces."""
+    numbers = np.zeros(int(ids.max(initial=0)) + 1, np.int32)
+    numbers[live + 1] = np.arange(1, len(live) + 1)
+    text = np.r_[np.int32(0), numbers[ids], np.int32(0)]
+    return text[(text > 0) | np.r_[True, text[:-1] > 0]]
 
 
 class Index:
-    """Bidirectional index of a shard over its frequent words (places in ``live``)."""
-
-    def __init__(self, ids: np.ndarray, live: np.ndarray) -> None:
-        numbers = np.zeros(int(ids.max(initial=0)) + 1, np.int64)
-        numbers[live + 1] = np.arange(1, len(live) + 1)
-        text = np.r_[0, numbers[ids], 0]
-        text = text[(text > 0) | np.r_[True, text[:-1] > 0]]  # one break between pieces
-        begins = np.searchsorted(np.sort(text), np.arange(len(live) + 1))
-        self.forward, self.back = _Way(text, begins), _Way(text[::-1], begins)
-        counts = np.diff(np.r_[begins, len(text)])
-        self.words = np.arange(1, len(live) + 1)
-        self.size = len(live) + 1
-        self.low, self.count = begins[1:], counts[1:]
+    """Bidirectional index of a reduced text of ``n_words`` different words."""
+
+    def __init__(self, text: np.ndarray, n_words: int) -> None:
+        self.text, self.size = text, n_words + 1
+        self.begins = np.searchsorted(np.sort(text), np.arange(n_words + 1))
+        self.low = self.begins[1:]
+        self.count = np.diff(np.r_[self.begins, len(text)])[1:]
+
+    @cached_property
+    def forward(self) -> _Way:
+        return _Way(self.text, self.begins)
+
+    @cached_property
+    def back(self) -> _Way:
+        return _Way(self.text[::-1], self.begins)
 
     def pairs(self) -> tuple[np.ndarray, ...]:
-        """(first word, second word, low, low in the reversed order, count), sorted by the words."""
-        parent, word, back, count, smaller = self.back.grow(self.low, self.count)
-        return parent + 1, word, self.low[parent] + smaller, back, count
+        """(first word, second word, low, count), sorted by the words."""
+        parent, word, count, smaller = self.back.grow(self.low, self.count)
+        return parent + 1, word, self.low[parent] + smaller, count
 
 
-def _index(shard: pa.Table, listed: pa.Table) -> tuple[Index, dict[int, tuple[np.ndarray, np.ndarray]]] | None:
-    """The index of a shard and, per length, places and names of its frequent phrases."""
-    if not shard.num_rows or not listed.num_rows:
-        return None
-    raw = pa.decompress(shard["ids"][0].as_py(), decompressed_size=4 * shard["size"][0].as_py(), codec="zstd")
-    depth, place, name = (listed[c].to_numpy() for c in ("depth", "place", "name"))
-    found = {}
-    for d in (1, 2):
-        mine = np.flatnonzero(depth == d)
-        mine = mine[np.argsort(place[mine])]
-        found[d] = place[mine].astype(np.int64), name[mine]
-    return Index(np.frombuffer(raw, np.int32), found[1][0]), found
+def _places(listed: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a shard's frequent phrases, ascending, and their names."""
+    place, name = listed["place"].to_numpy(), listed["name"].to_numpy()
+    order = np.argsort(place)
+    return place[order].astype(np.int64), name[order]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
 
 
+def _unpacked(packed: bytes, size: int, kind: type) -> np.ndarray:
+    raw = pa.decompress(packed, decompressed_size=size * np.dtype(kind).itemsize, codec="zstd")
+    return np.frombuffer(raw, kind)
+
+
+_REDUCED = "shard long, size int, ids binary, n_words int, names binary"
 _PAIRS = "a long, b long, at long, n int"
 _LONGER = "a long, b long, c long, n int"
 
 
-def _pair_counts(shard: pa.Table, listed: pa.Table) -> pa.Table:
-    names = ["a", "b", "at", "n"]
-    if (made := _index(shard, listed)) is None:
-        return pa.table([pa.array([], t) for t in (pa.int64(),) * 3 + (pa.int32(),)], names=names)
-    index, found = made
-    first, second, _, _, count = index.pairs()
-    word = found[1][1]
-    at = (shard["shard"][0].as_py() << _PLACES) + np.arange(len(first))
-    return pa.table([word[first - 1], word[second - 1], at, count.astype(np.int32)], names=names)
+def _reduced_shard(shard: pa.Table, listed: pa.Table) -> pa.Table:
+    """The shard with its frequent words only; none if it has none."""
+    names = ["shard", "size", "ids", "n_words", "names"]
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()]
+    if not shard.num_rows or not listed.num_rows:
+        return pa.table([pa.array([], k) for k in kinds], names=names)
+    live, name = _places(listed)
+    text = reduced(_unpacked(shard["ids"][0].as_py(), shard["size"][0].as_py(), np.int32), live)
+    row = [shard["shard"][0].as_py(), len(text), _packed(text), len(live), _packed(name)]
+    return pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+
+
+def _loaded(row: dict) -> tuple[Index, np.ndarray]:
+    """The index of a reduced shard and the names of its words."""
+    return (Index(_unpacked(row["ids"], row["size"], np.int32), row["n_words"]),
+            _unpacked(row["names"], row["n_words"], np.int64))
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            index, word = _loaded(row)
+            first, second, _, count = index.pairs()
+            del index
+            for begin in range(0, len(first), _ROWS):
+                part = slice(begin, begin + _ROWS)
+                at = (row["shard"] << _PLACES) + np.arange(begin, begin + len(first[part]))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
+                    word[first[part] - 1], word[second[part] - 1], at, count[part].astype(np.int32))],
+                    names=["a", "b", "at", "n"])
 
 
 def _longer_counts(shard: pa.Table, listed: pa.Table) -> pa.Table:
     """Phrases of three words (c is NULL) and four, named by their neighbouring pairs."""
-    made, out = _index(shard, listed), []
-    if made is not None and len(made[1][2][0]):
-        index, found = made
-        live, name = found[2]
-        first, second, low, back, count = (c[live] for c in index.pairs())
+    out = []
+    if shard.num_rows and listed.num_rows:
+        index, _ = _loaded(shard.to_pylist()[0])
+        live, name = _places(listed)
+        first, second, low, count = (c[live] for c in index.pairs())
+        back = index.back.rank(second, index.low[first - 1])
         keys = first * index.size + second
 
         def pair(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -205,13 +253,13 @@ def _longer_counts(shard: pa.Table, listed: pa.Table) -> pa.Table:
             at = np.minimum(np.searchsorted(keys, a * index.size + b), len(keys) - 1)
             return at, keys[at] == a * index.size + b
 
-        # To the left: the forward interval is found by rank, the other one by smaller words.
-        parent, word, _, n, smaller = index.forward.grow(low, count)
+        # To the left; the interval in the reversed order shrinks by the smaller words.
+        parent, word, n, smaller = index.forward.grow(low, count)
         before, fits = pair(word, first[parent])
         parent, before, n, back = (x[fits] for x in (parent, before, n, back[parent] + smaller))
         out.append((name[before], name[parent], np.zeros(len(n), np.int64), np.ones(len(n), bool), n))
         # To the right from there.
-        triple, word, _, n, _ = index.back.grow(back, n)
+        triple, word, n, _ = index.back.grow(back, n)
         after, fits = pair(second[parent[triple]], word)
         triple, after, n = triple[fits], after[fits], n[fits]
         out.append((name[before[triple]], name[parent[triple]], name[after], np.zeros(len(n), bool), n))
@@ -227,10 +275,10 @@ def _frequent(rows: DataFrame, key: list[str], min_count: int) -> DataFrame:
         F.col("total") >= min_count)
 
 
-def _listed(rows: DataFrame, depth: int) -> DataFrame:
+def _listed(rows: DataFrame) -> DataFrame:
+    """Places and names of frequent phrases, on their way back to the shards."""
     place = F.col("at").bitwiseAND(F.lit((1 << _PLACES) - 1))
-    return rows.select(F.shiftright("at", _PLACES).alias("shard"), F.lit(depth).alias("depth"),
-                       place.cast("int").alias("place"), "name")
+    return rows.select(F.shiftright("at", _PLACES).alias("shard"), place.cast("int").alias("place"), "name")
 
 
 def _joined(rows: DataFrame, head: DataFrame, head_key: dict[str, str], tail: DataFrame,
@@ -274,11 +322,11 @@ def phrases(df: DataFrame, *, lang: str = "lang", text: str = "text", min_count:
         "lang", F.col("col.words").alias("word"), F.col("col.counts").alias("n"),
         (F.shiftleft("shard", _PLACES) + F.col("pos")).alias("at"))
     words = written(_frequent(vocabulary, ["lang", "word"], min_count), "words")
-    ids = made.select("shard", "size", "ids").groupBy("shard")
-    pairs = ids.cogroup(_listed(words, 1).groupBy("shard")).applyInArrow(_pair_counts, _PAIRS)
-    pairs = written(_frequent(pairs, ["a", "b"], min_count), "pairs")
-    listed = _listed(words, 1).union(_listed(pairs, 2))
-    longer = ids.cogroup(listed.groupBy("shard")).applyInArrow(_longer_counts, _LONGER)
+    texts = made.select("shard", "size", "ids").groupBy("shard").cogroup(
+        _listed(words).groupBy("shard")).applyInArrow(_reduced_shard, _REDUCED)
+    texts = written(texts, "reduced")
+    pairs = written(_frequent(texts.mapInArrow(_pair_counts, _PAIRS), ["a", "b"], min_count), "pairs")
+    longer = texts.groupBy("shard").cogroup(_listed(pairs).groupBy("shard")).applyInArrow(_longer_counts, _LONGER)
     longer = longer.groupBy("a", "b", "c").agg(F.sum("n").alias("total")).filter(F.col("total") >= min_count)
     longer = written(longer, "longer")
 
@@ -312,8 +360,8 @@ def collocations(df: DataFrame, *, lang: str = "lang", text: str = "text", min_c
     longer phrase never counts more than they do.  Ranks go by score, count and
     bytes of the phrase.  A NULL language is `UNKNOWN_LANG`, a NULL text is
     empty, repeated rows count again, an empty table gives no phrases, and other
-    columns are not read.  A shard and its index take a hundred bytes a word; a
-    text is never split between shards.
+    columns are not read.  A shard and its index take some eighty bytes a word;
+    a text is never split between shards.
     """
     found, sizes = phrases(df, lang=lang, text=text, min_count=min_count, shard_words=shard_words)
     exact = lambda c: c.cast("decimal(20,0)")

@@ -68,11 +68,11 @@ def test_suffix_order_and_intervals():
         padded = [*text.tolist(), 0, 0, 0, 0]
         keys = [padded[i:i + 4] for i in order]
         assert keys == sorted(keys)
-    index = C.Index(ids, np.arange(3))
-    first, second, low, back, count = index.pairs()
+    index = C.Index(C.reduced(ids, np.arange(3)), 3)
+    first, second, low, count = index.pairs()
     seen = Counter(zip(ids.tolist(), ids[1:].tolist()))
     assert {(a, b): n for a, b, n in zip(first, second, count)} == {k: n for k, n in seen.items() if all(k)}
-    parent, word, _, n, _ = index.forward.grow(low, count)
+    parent, word, n, _ = index.forward.grow(low, count)
     triples = Counter(zip(ids.tolist(), ids[1:].tolist(), ids[2:].tolist()))
     assert {(w, first[p], second[p]): c for p, w, c in zip(parent, word, n)} == {
         k: n for k, n in triples.items() if all(k)}
