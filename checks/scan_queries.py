@@ -17,7 +17,7 @@ from plumeline.sources import tables
 
 from . import inputs
 from .registry import query
-from .sql import FLAGS, newton, with_tables
+from .sql import FLAGS, newton, with_tables, within
 from .views import view
 
 OUTCOMES = [p.flag for p in PHENOTYPES]
@@ -346,6 +346,31 @@ def asthma_scan(spark, sf):
                        F.round(high, 6).alias("ci_high"))
 
 
+# ---- a factor of some hundred levels, absorbed ----------------------------------
+_AREA = "coalesce(tract_geoid, '') as level, year - 1998.0 as c"
+_WIDE = {
+    "w_base": " union all ".join(
+        f"select '{e}' as fit, (v - avg(v) over ()) / stddev_samp(v) over () as x, {_AREA}, tract_geoid, asthma_flag "
+        f"from (select *, {e} as v from scan_input where {e} is not null)" for e in inputs.EXPOSURES),
+    "w_gate": """select fit, count(*) as n, cast(sum(cast(asthma_flag as int)) as bigint) as n_cases,
+  count(tract_geoid) as n_fit from w_base group by fit
+  having count(*) >= 100 and n_cases >= 11 and n_cases < count(*) - 11""",
+    "w_rows": """select fit, level, x, c, cast(count(asthma_flag) as double) as n,
+  cast(sum(cast(asthma_flag as int)) as double) as k
+from w_base join w_gate using (fit) where w_base.tract_geoid is not null group by fit, level, x, c""",
+    **within("w", "w_rows")}
+
+
+@query("wide_factor_scan", with_tables("""
+select fit as exposure_id, n, n_cases, n_fit, round(b, 6) as estimate, round(sqrt(v), 6) as se,
+  round(b / sqrt(v), 6) as z_value from w_gate join w_fit using (fit)""", "scan_input", extra=_WIDE))
+def wide_factor_scan(spark, sf):
+    """Every exposure on asthma beside the year and the census tract, whose levels are absorbed."""
+    spec = ModelSpec("logit_tract", covariates=("year", "tract_geoid"))
+    fits = scan.fit_models(inputs.scan_input(spark, sf), inputs.EXPOSURES, ["asthma_flag"], [spec], wide_levels=20)
+    return _round6(fits).select("exposure_id", "n", "n_cases", "n_fit", "estimate", "se", "z_value")
+
+
 # ---- result queries -------------------------------------------------------------
 @query("test_summary", with_tables("""
 select model_spec_id, strata, count(*) as n_tests,

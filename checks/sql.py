@@ -83,7 +83,7 @@ from person_month p left join exposure_wide w
     and p.month = w.month""")
 TABLES["rollup"] = (("person_exposures",), _melted)
 TABLES["scan_input"] = (("person_exposures",), f"""
-select person_id, ym, cast(year as int) as year, month, season, db_type, age, female, race,
+select person_id, ym, cast(year as int) as year, month, season, db_type, age, female, race, tract_geoid,
   {', '.join(FLAGS)}, {_renamed}
 from person_exposures""")
 
@@ -175,3 +175,45 @@ def newton(prefix: str, rows: str, columns: list[str], steps: int = 7) -> dict[s
         f"select fit, b, v from ({' union all '.join(ends)}) "
         "qualify row_number() over (partition by fit order by step) = 1")
     return tables
+
+
+def within(prefix: str, rows: str, steps: int = 25) -> dict[str, str]:
+    """Logistic fits of ``x`` and ``c`` beside one factor ``level``, by demeaning inside its levels.
+
+    Residuals from weighted level means regress on one another as the columns do
+    beside all indicators, so two unknowns are left to solve for.  Steps and end
+    are those of :func:`newton`; a fit that never ends keeps its last step.
+    """
+    tables: dict[str, str] = {}
+    for step in range(1, steps + 1):
+        if step == 1:
+            tables[f"{prefix}_w1"] = (
+                f"select fit, level, x, c, 0.0 as b, 0.0 as v, 0.1875 * n as w, "
+                f"(ln(3) + 4 / 3.0) * (2 * k - n) / n as t, -2 * n * ln(0.75) as d from {rows} where n > 0")
+        else:
+            tables[f"{prefix}_w{step}"] = (
+                "select fit, level, x, c, b, v, n * mu * (1 - mu) as w, eta + (k - n * mu) / (n * mu * (1 - mu)) as t, "
+                "-2 * (k * ln(mu) + (n - k) * ln(1 - mu)) as d from (select *, 1 / (1 + exp(-eta)) as mu from ("
+                f"select r.*, p.b, p.v, p.b * x + p.b2 * c + p.t0 - p.b * p.x0 - p.b2 * p.c0 as eta "
+                f"from {rows} r join {prefix}_b{step - 1} p on r.fit = p.fit and r.level = p.level where n > 0))")
+        tables[f"{prefix}_m{step}"] = (
+            "select fit, level, any_value(b) as b, any_value(v) as v, sum(d) as d, sum(w * x) / sum(w) as x0, "
+            "sum(w * c) / sum(w) as c0, sum(w * t) / sum(w) as t0 "
+            f"from {prefix}_w{step} group by fit, level")
+        tables[f"{prefix}_s{step}"] = (
+            "select fit, sum(w * (x - x0) ** 2) as xx, sum(w * (x - x0) * (c - c0)) as xc, "
+            "sum(w * (c - c0) ** 2) as cc, sum(w * (x - x0) * (t - t0)) as xt, sum(w * (c - c0) * (t - t0)) as ct "
+            f"from {prefix}_w{step} join (select fit, level, x0, c0, t0 from {prefix}_m{step}) using (fit, level) "
+            "group by fit")
+        tables[f"{prefix}_d{step}"] = (f"select fit, {step} as step, sum(d) as dev, any_value(b) as b, "
+                                       f"any_value(v) as v from {prefix}_m{step} group by fit")
+        tables[f"{prefix}_b{step}"] = (
+            "select fit, level, x0, c0, t0, (xt * cc - ct * xc) / (xx * cc - xc * xc) as b, "
+            "(ct * xx - xt * xc) / (xx * cc - xc * xc) as b2, cc / (xx * cc - xc * xc) as v "
+            f"from {prefix}_m{step} join {prefix}_s{step} using (fit)")
+    every = " union all ".join(f"select * from {prefix}_d{step}" for step in range(1, steps + 1))
+    tables[f"{prefix}_fit"] = (
+        f"select fit, b, v from (select *, lag(dev) over (partition by fit order by step) as before from ({every})) "
+        f"where step > 1 and (abs(dev - before) / (abs(dev) + 0.1) < 1e-8 or step = {steps}) "
+        "qualify row_number() over (partition by fit order by step) = 1")
+    return tables

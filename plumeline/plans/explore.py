@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import FEATURES, Feature
 from ..functions import effects
 from ..functions.missing import nan_to_null
 from ..operators.joins import join_null_safe
 from ..operators.ranks import grouped_quantile
+from ..session import materialize
 from .quality import percent
 
 HISTOGRAM_BINS = 30
@@ -57,8 +58,23 @@ def result_table(results: DataFrame) -> DataFrame:
 
 
 def ranked(results: DataFrame) -> DataFrame:
-    """Results with their place, strongest first; a result table has one row per planned test."""
-    return results.withColumn("place", F.row_number().over(Window.orderBy(*strongest_first(results))))
+    """Results with their place, strongest first.
+
+    Ranges of the order are sorted side by side; a row's place is its number in
+    its range and the rows of all earlier ranges, of which there are as many as
+    shuffle partitions.
+    """
+    order = strongest_first(results)
+    cut = results.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Numbered as sorted: the upper bits are the range, the lower ones the row in it.
+    cut = materialize(cut.withColumn("_at", F.monotonically_increasing_id()), "places")
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = dict(cut.groupBy(part.cast("int")).count().collect())
+    earlier = [0]
+    for i in range(max(sizes, default=-1) + 1):
+        earlier.append(earlier[-1] + sizes.get(i, 0))
+    offset = F.get(F.array(*[F.lit(n).cast("bigint") for n in earlier]), part.cast("int"))
+    return cut.withColumn("place", (offset + row + 1).cast("int")).drop("_at")
 
 
 def export_table(results: DataFrame) -> DataFrame:
