@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plumeline.config import FEATURES, LEGACY_MODEL_SPECS, MODEL_SPECS, PHENOTYPES, ModelSpec, select_specs
 from plumeline.exwas import irls, scan
 from plumeline.functions import effects
-from plumeline.operators import ranks
+from plumeline.operators import exposures, ranks
 from plumeline.plans import explore, quality
 from plumeline.session import scratch_path
 from plumeline.sources import tables
@@ -146,6 +146,15 @@ def stratum_rows(spark, sf):
     return months.agg(F.array(*counts).alias("s")).select(F.inline("s"))
 
 
+@query("exposure_columns", with_tables(" union all ".join(
+    f"select '{e}' as column_name, count({e}) as n_present, count(*) as n_rows, "
+    f"round(100.0 * count({e}) / count(*), 1) as pct_present from scan_input" for e in inputs.EXPOSURES), "scan_input"))
+def exposure_columns(spark, sf):
+    """Present rows of every exposure column, chosen by name."""
+    wide = inputs.scan_input(spark, sf)
+    return quality.coverage(wide, exposures.exposure_columns(wide))
+
+
 _GRID = " union all ".join(
     f"select exposure_id, '{o}' as outcome, '{s.id}' as model_spec_id, '{s.strata}' as strata "
     f"from ids" for o in OUTCOMES for s in select_specs("male"))

@@ -138,6 +138,10 @@ PHENOTYPES: tuple[Phenotype, ...] = (
 )
 
 
+# What names of exposure columns begin with.
+EXPOSURE_PREFIXES: tuple[str, ...] = ("hms_", "pm25_", "ozone_", "temp_")
+
+
 @dataclass(frozen=True)
 class ModelSpec:
     """One adjustment set fitted inside one sex stratum."""

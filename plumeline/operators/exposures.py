@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..config import (DAILY_DEFAULT_SOURCE, DAILY_SOURCES, DAILY_VERSION, EXPOSURE_VARIABLES,
+from ..config import (DAILY_DEFAULT_SOURCE, DAILY_SOURCES, DAILY_VERSION, EXPOSURE_PREFIXES, EXPOSURE_VARIABLES,
                       EXPOSURE_YEARS, THRESHOLDS, Threshold)
 from ..functions.missing import nan_to_null, no_nan
 from .joins import join_null_safe
@@ -67,6 +67,11 @@ def attach_exposures(months: DataFrame, exposures_wide: DataFrame) -> DataFrame:
     return join_null_safe(keyed, exposures_wide, ["zip5", "year", "month"])
 
 
+def exposure_columns(df: DataFrame) -> list[str]:
+    """Columns that carry an exposure under its public id, told by how their names begin."""
+    return [c for c in df.columns if c.startswith(EXPOSURE_PREFIXES)]
+
+
 def source_of(exposure_id: Column) -> Column:
     chosen = F.lit(DAILY_DEFAULT_SOURCE)
     for prefix, source in DAILY_SOURCES.items():

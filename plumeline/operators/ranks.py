@@ -19,6 +19,10 @@ from ..session import materialize
 from .joins import join_null_safe
 
 
+# Rows of a sorted range that are ranked together.
+BLOCK_BITS = 16
+
+
 def group_key(keys: Sequence[str]) -> Column:
     """All keys as one struct: NULL fields compare equal, so joins keep them."""
     return F.struct(*keys) if keys else F.lit(0)
@@ -58,16 +62,49 @@ def ranked_values(df: DataFrame, keys: Sequence[str], value: str, ranges: int |
         (F.col("earlier") + F.sum("cnt").over(inside) - F.col("cnt")).alias("before"))
 
 
-def _smallest_from_here_up(ranked: DataFrame, column: str, alias: str) -> DataFrame:
-    """Per group, the minimum of ``column`` over this and all larger values."""
-    upward = Window.partitionBy("_grp", "part").orderBy(F.desc("_val")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    later = Window.partitionBy("_grp").orderBy(F.desc("part")).rowsBetween(
-        Window.unboundedPreceding, -1)
-    minima = ranked.groupBy("_grp", "part").agg(F.min(column).alias("part_min"))
-    minima = minima.select("_grp", "part", F.min("part_min").over(later).alias("later_min"))
-    return (ranked.withColumn(alias, F.min(column).over(upward)).join(minima, ["_grp", "part"])
-            .withColumn(alias, F.least(F.col(alias), F.col("later_min"))).drop("later_min"))
+def _in_blocks(df: DataFrame, keys: Sequence[str], value: str, ranges: int | None, block_bits: int) -> DataFrame:
+    """The rows with ``_grp``, ``_val``, ``_at`` (a number in order of both) and ``_block``.
+
+    One shuffle by ranges of group and value, sorted side by side; a hash of the
+    row spreads equal values, so no value needs a task of its own.  A block is
+    the next 2**block_bits rows of a range at most.
+    """
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = df.withColumns({"_grp": group_key(keys), "_val": _value(value), "_salt": F.xxhash64(*hashed)})
+    order = ["_grp", "_val", "_salt"]
+    cut = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
+    # Numbered as sorted, the range in the upper bits; written, so that the number is a value.
+    cut = cut.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).drop("_salt")
+    return materialize(cut, "ranges").withColumn("_block", F.shiftright("_at", block_bits))
+
+
+def _adjust_blocks(df: DataFrame, keys: Sequence[str], p: str, fdr: str, bonferroni: str | None,
+                   ranges: int | None, block_bits: int) -> DataFrame:
+    """Step-up adjustment in sorted blocks: ranks from the counts of earlier blocks, minima from later ones.
+
+    The two tables between the passes have a row per group and block.  Rows of
+    one value may differ in rank here: the smallest adjusted value from the row
+    on includes that of the last of them, which is the one all of them get.
+    """
+    cut = _in_blocks(df, keys, p, ranges, block_bits)
+    unit = ["_grp", "_block"]
+    by_block = Window.partitionBy("_grp").orderBy("_block")
+    counts = cut.filter(F.col("_val").isNotNull()).groupBy(*unit).agg(
+        F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
+    counts = counts.select(
+        *unit, "first", F.sum("n").over(Window.partitionBy("_grp")).alias("total"),
+        F.coalesce(F.sum("n").over(by_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("earlier"))
+    rank = F.col("earlier") + F.col("_at") - F.col("first") + 1
+    placed = cut.join(counts, unit, "left").withColumn("_scaled", F.col("_val") * F.col("total") / rank)
+    later = placed.groupBy(*unit).agg(F.min("_scaled").alias("least"))
+    later = later.select(*unit, F.min("least").over(
+        by_block.rowsBetween(1, Window.unboundedFollowing)).alias("later"))
+    down = Window.partitionBy(*unit).orderBy(F.desc("_at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = F.col("_val").isNotNull()
+    out = {fdr: F.when(known, F.least(F.lit(1.0), F.min("_scaled").over(down), F.col("later")))}
+    if bonferroni:
+        out[bonferroni] = F.when(known, F.least(F.lit(1.0), F.col("_val") * F.col("total")))
+    return placed.join(later, unit).select(*[F.col(c) for c in df.columns], *[c.alias(n) for n, c in out.items()])
 
 
 def _adjust_small(df: DataFrame, keys: Sequence[str], p: str, fdr: str,
@@ -87,26 +124,17 @@ def _adjust_small(df: DataFrame, keys: Sequence[str], p: str, fdr: str,
 
 def adjust_p(df: DataFrame, keys: Sequence[str], *, p: str = "p_value", fdr: str = "p_adj_fdr",
              bonferroni: str | None = "p_adj_bonferroni", bounded: bool = False,
-             ranges: int | None = None) -> DataFrame:
+             ranges: int | None = None, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Benjamini-Hochberg and Bonferroni adjustment inside each group.
 
     The number of tests is the number of present p-values; a missing p-value
     stays missing.  ``bounded`` says the caller knows each group is small by
     configuration (a scan of a fixed number of models), where windows do.  Else
-    the input is read twice: for the ranks, and for the rows that get them.
+    the rows are dealt to ranges once and adjusted where they are.
     """
     if bounded:
         return _adjust_small(df, keys, p, fdr, bonferroni)
-    ranked = ranked_values(df, keys, p, ranges)
-    scaled = ranked.withColumn(
-        "scaled", F.col("_val") * F.col("total") / (F.col("before") + F.col("cnt")))
-    columns = {fdr: F.least(F.lit(1.0), F.col("adj"))}
-    if bonferroni:
-        columns[bonferroni] = F.least(F.lit(1.0), F.col("_val") * F.col("total"))
-    adjusted = _smallest_from_here_up(scaled, "scaled", "adj").select(
-        "_grp", "_val", *[c.alias(n) for n, c in columns.items()])
-    keyed = df.withColumns({"_grp": group_key(keys), "_val": _value(p)})
-    return keyed.join(adjusted, ["_grp", "_val"], "left").select(*df.columns, *columns)
+    return _adjust_blocks(df, keys, p, fdr, bonferroni, ranges, block_bits)
 
 
 def bonferroni(df: DataFrame, keys: Sequence[str], *, p: str = "p_value",

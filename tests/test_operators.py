@@ -126,7 +126,8 @@ def bh(p):
                      for value in p])
 
 
-@pytest.mark.parametrize("options", [{"bounded": True}, {}, {"ranges": 1}, {"ranges": 9}])
+@pytest.mark.parametrize("options", [{"bounded": True}, {}, {"ranges": 1}, {"ranges": 9},
+                                     {"ranges": 3, "block_bits": 2}, {"ranges": 2, "block_bits": 0}])
 def test_fdr_matches_its_definition(spark, options):
     rng = np.random.default_rng(3)
     groups = {"hot": rng.random(150).round(2) ** 2, "small": np.array([0.02, 0.02, 0.5]),
@@ -274,4 +275,25 @@ def test_inputs_are_scanned_twice_at_most(spark, tmp_path):
     plan = ranks.bonferroni(df, ["g"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 2
     plan = ranks.adjust_p(df, ["g"])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count(str(tmp_path)) == 1  # besides the pass that wrote the ranks
+    assert plan.count(str(tmp_path)) == 0  # only the pass that dealt the rows to ranges has read them
+
+
+def test_places_need_no_window(spark):
+    from plumeline.plans import explore
+    rng = np.random.default_rng(8)
+    data = [(f"m{i % 3}", f"e{i}", "o", None if i % 50 == 0 else float(p), float(p))
+            for i, p in enumerate(rng.random(400).round(1))]
+    df = spark.createDataFrame(
+        data, "model_spec_id string, exposure_id string, outcome string, p_value double, q_value double").repartition(5)
+    ranked = explore.ranked(df)
+    assert "Window" not in ranked._jdf.queryExecution().executedPlan().toString()
+    wanted = sorted(data, key=lambda r: (r[3] is None, r[3] or 0, r[0], r[1]))
+    assert [r.exposure_id for r in ranked.orderBy("place").collect()] == [r[1] for r in wanted]
+    assert sorted(r.place for r in ranked.collect()) == list(range(1, 401))
+    assert explore.ranked(df.limit(0)).count() == 0
+
+
+def test_exposure_columns():
+    from types import SimpleNamespace
+    named = SimpleNamespace(columns=["ym", "temp_maximum", "pm25_dust", "hms_smoke_light", "pm2", "ozone_mean", "x_temp_"])
+    assert exposures.exposure_columns(named) == ["temp_maximum", "pm25_dust", "hms_smoke_light", "ozone_mean"]
