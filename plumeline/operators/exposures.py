@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import (DAILY_DEFAULT_SOURCE, DAILY_SOURCES, DAILY_VERSION, EXPOSURE_PREFIXES, EXPOSURE_VARIABLES,
                       EXPOSURE_YEARS, THRESHOLDS, Threshold)
 from ..functions.missing import nan_to_null, no_nan
-from .joins import join_null_safe
+from .joins import join_null_safe, join_spread
 
 
 def cohort_subset(exposures: DataFrame, months: DataFrame, *,
@@ -61,10 +61,12 @@ def to_wide(exposures: DataFrame, *, variables: Iterable[str] = EXPOSURE_VARIABL
 def attach_exposures(months: DataFrame, exposures_wide: DataFrame) -> DataFrame:
     """Person-months with their zip's exposures of the month (left join).
 
-    ``year`` is text on the exposure side and becomes text in the result.
+    ``year`` is text on the exposure side and becomes text in the result.  A
+    NULL zip is a key like any other and may be that of most rows: the rows of a
+    month without a zip are dealt to several tasks.
     """
     keyed = months.withColumns({"year": F.year("ym").cast("string"), "month": F.month("ym")})
-    return join_null_safe(keyed, exposures_wide, ["zip5", "year", "month"])
+    return join_spread(keyed, exposures_wide, ["zip5", "year", "month"], F.col("zip5").isNull())
 
 
 def exposure_columns(df: DataFrame) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .joins import join_null_safe
+from .joins import join_spread
 
 
 def best_tract(crosswalk: DataFrame) -> DataFrame:
@@ -20,5 +20,8 @@ def best_tract(crosswalk: DataFrame) -> DataFrame:
 
 
 def attach_tract(visits: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """Left join of the best tract; an earlier tract column is replaced."""
-    return join_null_safe(visits.drop("tract_geoid"), best_tract(crosswalk), ["zip5"])
+    """Left join of the best tract; an earlier tract column is replaced.
+
+    Visits without a zip share one key, which is dealt to several tasks.
+    """
+    return join_spread(visits.drop("tract_geoid"), best_tract(crosswalk), ["zip5"], F.col("zip5").isNull())

@@ -154,6 +154,15 @@ def bonferroni_flag(df: DataFrame, keys: Sequence[str], *, p: str = "p_value",
         alias, _value(p) < level / F.col("__rows")).drop("__rows")
 
 
+def beside_aggregates(df: DataFrame, keys: list[str], quantiles: DataFrame,
+                      extra: Mapping[str, Column] | None) -> DataFrame:
+    """``extra`` aggregates of every group, joined with what is known of groups that have a value."""
+    counted = [*[c.alias(n) for n, c in (extra or {}).items()], F.count(F.lit(1)).alias("__n")]
+    if keys:
+        return join_null_safe(df.groupBy(*keys).agg(*counted).drop("__n"), quantiles, keys)
+    return df.agg(*counted).join(F.broadcast(quantiles), F.lit(True), "left").drop("__n")  # one row on either side
+
+
 def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, *, alias: str,
                      extra: Mapping[str, Column] | None = None, ranges: int | None = None) -> DataFrame:
     """Exact interpolated quantile per group, next to other aggregates.
@@ -161,7 +170,6 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, *
     Read off the ranks, so a group may be of any size; a group without a value
     has a NULL quantile.
     """
-    others = [c.alias(n) for n, c in (extra or {}).items()]
     keys = list(keys)
     position = (F.col("total") - 1) * q
     low, high = F.floor(position), F.ceil(position)
@@ -176,9 +184,4 @@ def grouped_quantile(df: DataFrame, keys: Sequence[str], value: str, q: float, *
         *([F.col(f"_grp.{k}").alias(k) for k in keys]),
         F.when(F.col("part_of") == 0, F.col("lo"))
         .otherwise((1 - F.col("part_of")) * F.col("lo") + F.col("part_of") * F.col("hi")).alias(alias))
-    base = df.groupBy(*keys).agg(*others, F.count(F.lit(1)).alias("__n")).drop("__n") if keys else (
-        df.agg(*others, F.count(F.lit(1)).alias("__n")).drop(*([] if not others else ["__n"])))
-    if keys:
-        return join_null_safe(base, quantiles, keys)
-    joined = base.join(F.broadcast(quantiles), F.lit(True), "left")  # one row on either side
-    return joined.drop("__n") if "__n" in joined.columns else joined
+    return beside_aggregates(df, keys, quantiles, extra)

@@ -10,7 +10,7 @@ from ..config import FEATURES, Feature
 from ..functions import effects
 from ..functions.missing import nan_to_null
 from ..operators.joins import join_null_safe
-from ..operators.ranks import grouped_quantile
+from ..operators.quantiles import narrowed_quantile
 from ..session import materialize
 from .quality import percent
 
@@ -136,7 +136,7 @@ def options(df: DataFrame, column: str) -> DataFrame:
 def range_statistics(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Mean, median, spread, ends and missing days of a daily series."""
     series, value = nan_to_null(series), F.col("value")
-    stats = grouped_quantile(series, list(by), "value", 0.5, alias="median_val", extra={
+    stats = narrowed_quantile(series, list(by), "value", 0.5, alias="median_val", extra={
         "mean_val": F.avg(value), "sd_val": F.stddev_samp(value), "min_val": F.min(value),
         "max_val": F.max(value), "n_missing": F.count_if(value.isNull())})
     rounded = ["mean_val", "median_val", "sd_val", "min_val", "max_val"]
