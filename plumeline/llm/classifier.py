@@ -175,18 +175,24 @@ def _shrunk(groups: DataFrame, n: str, hits: str, prior: str, out: str) -> DataF
     share = (F.col("squares") - F.col("noise")) / F.col("unit")
     strength = F.when((F.col("unit") <= 0) | (share <= 1e-6), F.lit(1e6)).otherwise(
         F.greatest(1 / F.when(share > 0, share) - 1, F.lit(1.0)))
-    return groups.join(F.broadcast(fit.select(F.coalesce(strength, F.lit(1e6)).alias("_k")))).withColumn(  # one row
-        out, (F.col(hits) + F.col("_k") * p) / (F.col(n) + F.col("_k"))).drop("_k")
+    k = f"{out}_strength"
+    return groups.join(F.broadcast(fit.select(F.coalesce(strength, F.lit(1e6)).alias(k)))).withColumn(  # one row
+        out, (F.col(hits) + F.col(k) * p) / (F.col(n) + F.col(k)))
+
+
+def _evidence(label: str) -> Column:
+    """What a document adds to its site: its label, else the probability of its own text."""
+    return F.coalesce(F.col(f"y_{label}").cast("double"), 1 / (1 + F.exp(-F.col(f"z_{label}"))))
 
 
 def site_rates(scored: DataFrame, label: str) -> DataFrame:
-    """(host, path, rate of host, rate of path, global rate) from labels and scores.
+    """Per (host, path) the global rate, those of host and path, and the sums they come from.
 
     A labelled document counts with its label, any other with the probability
     of its own evidence.  Partial sums make a host of any size a row per task.
     """
-    own = F.coalesce(F.col(f"y_{label}").cast("double"), 1 / (1 + F.exp(-F.col(f"z_{label}"))))
-    paths = scored.groupBy("host", "path").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(own).alias("hits"))
+    paths = scored.groupBy("host", "path").agg(F.count(F.lit(1)).cast("double").alias("n"),
+                                               F.sum(_evidence(label)).alias("hits"))
     paths = written(paths, "paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("hits").alias("host_hits"))
     total = hosts.agg((F.sum("host_hits") / F.sum("host_n")).alias("global_rate"))
@@ -194,8 +200,15 @@ def site_rates(scored: DataFrame, label: str) -> DataFrame:
     hosts = _shrunk(hosts, "host_n", "host_hits", "global_rate", "host_rate")
     hosts = hosts.withColumnRenamed("host", "_host")
     joined = paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
-    return _shrunk(joined, "n", "hits", "host_rate", "path_rate").select(
-        "host", "path", "global_rate", "host_rate", "path_rate")
+    return _shrunk(joined, "n", "hits", "host_rate", "path_rate")
+
+
+def rate_of_others(own: Column) -> Column:
+    """Path posterior of a document's site without the document's own evidence ``own``."""
+    k = F.col("host_rate_strength")
+    host = (F.col("host_hits") - own + k * F.col("global_rate")) / (F.col("host_n") - 1 + k)
+    k = F.col("path_rate_strength")
+    return (F.col("hits") - own + k * host) / (F.col("n") - 1 + k)
 
 
 def classify(df: DataFrame, labels: DataFrame, keep: dict[str, Column], *, id: str = "doc_id", text: str = "text",
@@ -204,12 +217,18 @@ def classify(df: DataFrame, labels: DataFrame, keep: dict[str, Column], *, id: s
     """``keep`` plus ``p_<label>`` and, per label, the rates of the document's host and path.
 
     ``p`` joins the document's own log-odds with how far its path's posterior
-    lies from the global rate.  NULL texts have the evidence of an empty text;
-    NULL hosts and paths are groups of their own; labels that are not 0 or 1
-    are left out; without labels every p is one half, moved by nothing; repeated
-    rows are scored each; an empty table gives an empty result.
+    lies from the global rate; for that the posterior is taken without the
+    document itself, so no label and no text counts twice.  NULL texts have the
+    evidence of an empty text; NULL hosts and paths are groups of their own;
+    labels that are not 0 or 1 are left out; without labels every p is one half,
+    moved by nothing; repeated rows are scored each; an empty table gives an
+    empty result.  ``keep`` may use any names but those of the result's own
+    columns, which raise a ValueError.
     """
     names = list(label_columns)
+    results = [*[f"p_{c}" for c in names], *[f"{r}_{c}" for c in names for r in ("host", "path")]]
+    if taken := set(keep) & set(results):
+        raise ValueError(f"names of the result: {sorted(taken)}")
     sample = training_sample(df, labels, names, id=id, text=text, rows=train_rows)
     models = {}
     for label in names:
@@ -218,18 +237,21 @@ def classify(df: DataFrame, labels: DataFrame, keep: dict[str, Column], *, id: s
         else:
             width = len(RATIOS) + 4
             models[label] = Model({}, Logistic(np.zeros(width), np.ones(width), np.zeros(width), 0.0))
-    columns = keep | {"_id": df[id], "host": df[host].cast("string"), "path": df[path].cast("string")}
+    # The caller's columns go by number until the end, so none meets a name of ours.
+    columns = {f"_keep{i}": c for i, c in enumerate(keep.values())}
+    columns |= {"_id": df[id], "host": df[host].cast("string"), "path": df[path].cast("string")}
     scored = score(df, columns, models, text=text)
     known = labels.groupBy(labels[id].alias("_label_id")).agg(*[
         F.max(F.when(labels[c].isin(0, 1), labels[c])).alias(f"y_{c}") for c in names])
     scored = written(scored.join(known, F.col("_id") == F.col("_label_id"), "left"), "scored")
+    odds = lambda c: F.log(F.greatest(c, F.lit(1e-6)) / F.greatest(1 - c, F.lit(1e-6)))
+    sums = ("global_rate", "host_n", "host_hits", "host_rate_strength", "n", "hits", "path_rate_strength")
     for label in names:
         rates = written(site_rates(scored, label), "rates").withColumnsRenamed(
-            {"host": "_host", "path": "_path", **{f"{r}_rate": f"{r}_{label}" for r in ("global", "host", "path")}})
+            {"host": "_host", "path": "_path", "host_rate": f"host_{label}", "path_rate": f"path_{label}"})
         same = F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path"))
-        scored = scored.join(rates, same, "left").drop("_host", "_path")
-        odds = lambda c: F.log(F.greatest(F.col(c), F.lit(1e-6)) / F.greatest(1 - F.col(c), F.lit(1e-6)))
+        scored = scored.join(rates, same, "left")
         scored = scored.withColumn(f"p_{label}", 1 / (1 + F.exp(-(
-            F.col(f"z_{label}") + odds(f"path_{label}") - odds(f"global_{label}")))))
-    return scored.select(*keep, *[f"p_{c}" for c in names],
-                         *[f"{r}_{c}" for c in names for r in ("host", "path")])
+            F.col(f"z_{label}") + odds(rate_of_others(_evidence(label))) - odds(F.col("global_rate"))))))
+        scored = scored.drop("_host", "_path", *sums)
+    return scored.select(*[F.col(f"_keep{i}").alias(n) for i, n in enumerate(keep)], *results)

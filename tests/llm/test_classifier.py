@@ -62,3 +62,29 @@ def test_edge_rows(spark):
     none = C.classify(docs, labels.limit(0), {"doc_id": docs.doc_id}).collect()
     assert {round(r.p_quality, 9) for r in none} == {0.5}
     assert C.classify(docs.limit(0), labels, {"doc_id": docs.doc_id}).count() == 0
+
+
+def test_a_document_does_not_move_itself(spark):
+    rows = [("a", "x", 1, 0.0)] * 3 + [("a", "x", None, 2.0), ("a", "y", 0, 0.0), ("b", "x", 0, 1.0), (None, None, 1, 0.0)]
+    df = spark.createDataFrame(rows, "host string, path string, y_l int, z_l double")
+    rates = C.site_rates(df, "l").withColumnsRenamed({"host": "_host", "path": "_path"})
+    own = C._evidence("l")
+    for r in df.join(rates, df.host.eqNullSafe(rates._host) & df.path.eqNullSafe(rates._path)).select(
+            "*", own.alias("own"), C.rate_of_others(own).alias("others")).collect():
+        evidence = [1 / (1 + np.exp(-z)) if y is None else y for _, _, y, z in rows]
+        host = [e for e, row in zip(evidence, rows) if row[0] == r.host]
+        path = [e for e, row in zip(evidence, rows) if row[:2] == (r.host, r.path)]
+        kh, kp = r.host_rate_strength, r.path_rate_strength
+        host_rate = (sum(host) - r.own + kh * r.global_rate) / (len(host) - 1 + kh)
+        assert r.others == pytest.approx((sum(path) - r.own + kp * host_rate) / (len(path) - 1 + kp))
+        assert r.global_rate == pytest.approx(np.mean(evidence))
+
+
+def test_names_of_the_caller_stay(spark):
+    docs = spark.createDataFrame([(7, "some words", "h", "p")], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(7, 1, 0)], "doc_id long, quality int, toxic int")
+    taken = {n: docs.doc_id for n in ("host", "path", "_id", "n", "y_toxic", "_text", "global_rate")}
+    row = C.classify(docs, labels, taken).first()
+    assert all(row[n] == 7 for n in taken)
+    with pytest.raises(ValueError, match="p_toxic"):
+        C.classify(docs, labels, {"p_toxic": docs.doc_id})
