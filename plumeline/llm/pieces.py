@@ -8,18 +8,22 @@ back to the start, which meets complete segmentations in order of score.
 No piece crosses from a letter into a space mark, so the lattice falls apart
 into units (a run of space marks and the letters after it).  Units are searched
 one by one, frequent ones once per worker, and the N best of a text are the N
-best combinations of its units' alternatives.
+best combinations of its units' alternatives.  Units that a worker meets for the
+first time go through the forward pass together, as arrays: all starts of all
+units walk the vocabulary's trie side by side, then the positions of all units
+are settled in order of their distance from the unit's start.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heappop, heappush, nsmallest
 from itertools import product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -29,6 +33,11 @@ MARK = "▁"
 # Units up to this long are remembered, up to twice this many per worker.
 _CACHED_CHARS = 48
 _CACHED_UNITS = 500_000
+# Texts are looked at together until they have this many characters, new units in so many at once.
+_CHUNK_CHARS = 1 << 20
+_TOGETHER = 50_000
+# Scores that are not whole numbers are kept as whole multiples of one over this.
+SCALE = 1_000_000
 _UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
 _NONE, _UNRANKED = -(1 << 60), -(10 ** 8)
@@ -41,13 +50,13 @@ Unit = tuple[int, int | None, int, str, str]
 class Vocabulary:
     """Pieces with integer scores, byte pieces for what has no piece."""
 
-    def __init__(self, pieces: list[tuple[str, int, int]], byte_ids: dict[int, int]) -> None:
-        """``pieces``: (piece, id, score) of the ordinary ones."""
-        self.byte_ids = byte_ids
+    def __init__(self, pieces: list[tuple[str, int, int]], byte_ids: dict[int, int], scale: int = 1) -> None:
+        """``pieces``: (piece, id, score times ``scale``) of the ordinary ones."""
+        self.byte_ids, self.scale = byte_ids, scale
         self.raw = {i: p.replace(MARK, " ").encode() for p, i, _ in pieces}
         self.raw |= {i: bytes([b]) for b, i in byte_ids.items()}
         # Worse than any piece, as is usual for what the vocabulary does not know.
-        self.byte_score = min((s for _, _, s in pieces if s > _UNRANKED), default=0) - 10
+        self.byte_score = min((s for _, _, s in pieces if s > _UNRANKED * scale), default=0) - 10 * scale
         if any("\n" in p or MARK in p.lstrip(MARK) for p, _, _ in pieces):
             raise ValueError("a piece crosses a unit boundary")
         # Every beginning of a piece, with the piece's score and id where it is one.
@@ -56,9 +65,20 @@ class Vocabulary:
             for k in range(1, len(p)):
                 self.known.setdefault(p[:k], None)
             self.known[p] = (score, i)
+        self._plant()
         self.young: dict[str, Unit] = {}
         self.old: dict[str, Unit] = {}
 
+    def _plant(self) -> None:
+        """The trie of ``known`` as arrays: sorted (node, character) keys and what they lead to."""
+        at = {"": 0} | {p: k for k, p in enumerate(self.known, 1)}
+        keys = np.array([at[p[:-1]] << 21 | ord(p[-1]) for p in self.known], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.child = keys[order], order + 1
+        self.piece_score = np.array([0] + [v[0] if v else 0 for v in self.known.values()], np.int64)
+        self.piece_id = np.array([-1] + [v[1] if v else -1 for v in self.known.values()], np.int64)
+        self.id_text = {i: str(i) for i in self.raw}
+
     def _bytes_of(self, char: str) -> tuple[int, ...]:
         return tuple(self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass"))
 
@@ -93,11 +113,11 @@ class Vocabulary:
                 found = get(unit[start:end], 0)
                 if found:
                     more, own = found
-                elif found is None:
-                    continue
                 elif end == start + 1:
                     own = self._bytes_of(unit[start])
                     more = len(own) * self.byte_score
+                elif found is None:
+                    continue
                 else:
                     break
                 score = here + more
@@ -109,7 +129,7 @@ class Vocabulary:
                     back[end] = (start, own)
                 elif score > second[end]:
                     second[end] = score
-                if not found:
+                if found == 0:
                     break
         ids: list = []
         at = n
@@ -121,6 +141,70 @@ class Vocabulary:
                 ids += own[::-1]
         return best[n], None if second[n] <= _NONE // 2 else second[n], tuple(ids[::-1])
 
+    def viterbi_all(self, units: list[str]) -> list[Unit | None]:
+        """The same for many units at once; None where a character has no piece of its own."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        of = np.repeat(np.arange(len(units)), size)  # a character's unit
+        first = np.cumsum(size) - size
+        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        ends, starts = (first + size)[of], first[of]
+        at, node, depth = np.arange(len(codes)), np.zeros(len(codes), np.int64), 0
+        spelled = np.zeros(len(units), bool)
+        found = []
+        while at.size:
+            key = node << 21 | codes[at + depth]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            hit = self.keys[place] == key
+            if not depth:
+                spelled[of[at[~hit]]] = True
+            at, node, depth = at[hit], self.child[place[hit]], depth + 1
+            piece = self.piece_id[node] >= 0
+            if depth == 1:
+                spelled[of[at[~piece]]] = True
+            found.append((at[piece], at[piece] + depth, node[piece]))
+            on = at + depth < ends[at]
+            at, node = at[on], node[on]
+        start, end, node = (np.concatenate(c) for c in zip(*found))
+        distance = start - starts[start]
+        order = np.argsort(distance, kind="stable")
+        start, end, node, distance = start[order], end[order], node[order], distance[order]
+        # Every unit has one place more than characters: the one in front of its first.
+        unit = of[start]
+        start, end = start + unit, end + unit
+        more, own = self.piece_score[node], self.piece_id[node]
+        origin = first + np.arange(len(units))
+        best = np.full(len(codes) + len(units), _NONE, np.int64)
+        second, back, taken = best.copy(), np.zeros_like(best), np.zeros_like(best)
+        best[origin] = 0
+        cuts = np.searchsorted(distance, np.arange(size.max() + 1))
+        for a, b in zip(cuts[:-1], cuts[1:]):  # within a slice no two edges end at one place
+            s, e, m = start[a:b], end[a:b], more[a:b]
+            score, was = best[s] + m, best[e]
+            better = score > was
+            second[e] = np.where(better, np.maximum(was, second[s] + m), np.maximum(second[e], score))
+            best[e] = np.maximum(score, was)
+            back[e[better]], taken[e[better]] = s[better], own[a:b][better]
+        last = origin + size
+        on_path = np.zeros(len(best), bool)
+        at = last[~spelled]
+        inside = np.ones(len(best), bool)
+        inside[origin] = False
+        while at.size:
+            on_path[at] = True
+            at = back[at]
+            at = at[inside[at]]
+        ids = taken[on_path].tolist()
+        upto = np.cumsum(on_path)[last].tolist()
+        texts, raws = [self.id_text[i] for i in ids], [self.raw[i] for i in ids]
+        out: list[Unit | None] = []
+        a = 0
+        for b, skip, top, next_best in zip(upto, spelled.tolist(), best[last].tolist(), second[last].tolist()):
+            out.append(None if skip else (
+                top, None if next_best <= _NONE // 2 else top - next_best, b - a, ",".join(texts[a:b]),
+                b"".join(raws[a:b]).decode("utf-8", "surrogatepass")))
+            a = b
+        return out
+
     def n_best(self, unit: str, n: int) -> list[Path]:
         """The n best segmentations of a unit, best first.
 
@@ -160,11 +244,31 @@ class Vocabulary:
             raw = b"".join([self.raw[i] for i in ids]).decode("utf-8", "surrogatepass")
             found = (score, None if second is None else score - second, len(ids), ",".join(map(str, ids)), raw)
         if len(text) <= _CACHED_CHARS:
-            if len(self.young) >= _CACHED_UNITS:
-                self.old, self.young = self.young, {}
-            self.young[text] = found
+            self._remember(text, found)
         return found
 
+    def _remember(self, text: str, found: Unit) -> None:
+        if len(self.young) >= _CACHED_UNITS:
+            self.old, self.young = self.young, {}
+        self.young[text] = found
+
+    def learn(self, listed: list[list[str | None]]) -> None:
+        """Put the new units of some texts through one forward pass; long and spelled ones wait for ``unit``."""
+        new = set().union(*listed) - self.young.keys() - self.old.keys()
+        names = [u for u in new if u is not None and len(u) <= _CACHED_CHARS]
+        for k in range(0, len(names), _TOGETHER):
+            part = names[k:k + _TOGETHER]
+            for name, found in zip(part, self.viterbi_all(part)):
+                if found is not None:
+                    self._remember(name, found)
+
+    def split(self, texts: Iterable[str]) -> Iterator[tuple[str, list[str | None]]]:
+        """Texts with their units, which are learned a chunk at a time."""
+        for chunk in in_chunks(texts):
+            listed = [units_of(t) for t in chunk]
+            self.learn(listed)
+            yield from zip(chunk, listed)
+
     def lattice(self, names: list[str | None]) -> list[Unit]:
         get, unit = self.young.get, self.unit
         return [get(u) or unit(u) for u in names]
@@ -222,13 +326,28 @@ def vocabulary(model: str) -> Vocabulary:
 
     model_file = sentencepiece.SentencePieceProcessor(model_file=model)
     pieces, byte_ids = [], {}
+    scores = [model_file.get_score(i) for i in range(model_file.vocab_size())]
+    scale = 1 if all(s == round(s) for s in scores) else SCALE
     for i in range(model_file.vocab_size()):
         piece = model_file.id_to_piece(i)
         if model_file.is_byte(i):
             byte_ids[int(piece[3:5], 16)] = i
         elif not (model_file.is_control(i) or model_file.is_unknown(i) or model_file.is_unused(i)):
-            pieces.append((piece, i, round(model_file.get_score(i))))
-    return Vocabulary(pieces, byte_ids)
+            pieces.append((piece, i, round(scores[i] * scale)))
+    return Vocabulary(pieces, byte_ids, scale)
+
+
+def in_chunks(texts: Iterable[str]) -> Iterator[list[str]]:
+    """Texts in order, cut into lists of about a million characters; a longer text is alone or last."""
+    chunk, held = [], 0
+    for text in texts:
+        chunk.append(text)
+        held += len(text)
+        if held >= _CHUNK_CHARS:
+            yield chunk
+            chunk, held = [], 0
+    if chunk:
+        yield chunk
 
 
 def segment(df: DataFrame, keep: dict[str, Column], *, text: str = "text", model: str = MODEL,
@@ -240,8 +359,12 @@ def segment(df: DataFrame, keep: dict[str, Column], *, text: str = "text", model
     the best and of where the others differ; ``round_trip``: does decoding each
     give the text?  ``ids`` comes
     with ``with_ids``.  A NULL text counts as empty, whose one segmentation is
-    empty; repeated rows are encoded each.  Texts stream through whole, and a
-    task holds one of them at a time besides the remembered units.
+    empty; repeated rows are encoded each, equal scores keep the earlier start,
+    and an empty table gives an empty one.  Scores of a model whose piece scores
+    are not whole numbers are multiplied by ``SCALE`` and rounded per piece.
+    ``keep`` may use any names, also those of columns of ``df``, but not
+    ``_text`` or the names above.  Texts stream through whole; a task holds about
+    a million characters of them, or one longer text, besides remembered units.
     """
     rows = df.select(*[c.alias(k) for k, c in keep.items()],
                      F.coalesce(df[text].cast("string"), F.lit("")).alias("_text"))
@@ -259,9 +382,7 @@ def segment(df: DataFrame, keep: dict[str, Column], *, text: str = "text", model
         known = vocabulary(model)
         for batch in batches:
             out = []
-            for value in batch.column(batch.num_columns - 1):
-                body = value.as_py()
-                unit_names = units_of(body)
+            for body, unit_names in known.split(v.as_py() for v in batch.column(batch.num_columns - 1)):
                 units = known.lattice(unit_names)
                 chosen = known.choices(unit_names, units, n)
                 listed = ",".join([u[3] for u in units])

@@ -81,3 +81,73 @@ def test_query_rows(spark):
     assert v.decode(by[3].ids) == "the cat  sat" and by[4].n_pieces == len(by[4].ids)
     assert P.segment(df.limit(0), {"doc_id": df.doc_id}).count() == 0
     assert list(itertools.islice(by[3].scores.split(","), 2)) == [str(s) for s, _ in v.encode("the cat  sat", 2)]
+
+
+def test_many_units_at_once_equal_single_ones():
+    names = ["▁", "a", "b", "ab", "ba", "▁a", "aba", "xyz", "y", "z"]  # x begins a piece but is none
+    rng = random.Random(8)
+    v = P.Vocabulary([(n, i, -rng.randrange(1, 9)) for i, n in enumerate(names)], {b: 100 + b for b in range(256)})
+    units = sorted({"▁" * rng.randrange(0, 3) + "".join(rng.choice("aabbxyzé") for _ in range(rng.randrange(1, 14)))
+                    for _ in range(400)})
+    together = v.viterbi_all(units)
+    assert any(together) and not all(together)
+    for unit, found in zip(units, together):
+        score, second, ids = v.viterbi(unit)
+        every = brute(v, unit) if len(unit) < 9 else []
+        if every:
+            assert [score, second] == ([s for s, _ in every] + [None])[:2]
+        if found is None:
+            assert set(unit) & set("xé")
+            continue
+        assert found[:4] == (score, None if second is None else score - second, len(ids), ",".join(map(str, ids)))
+        assert found[4] == unit.replace("▁", " ")
+
+
+def whole_text_best(pieces, longest, byte_ids, byte_score, text, n):
+    """The n best of the marked text as one lattice, without units: (score, ids) lists per position."""
+    at = [[(0, None)]] + [[] for _ in text]
+    for end in range(1, len(text) + 1):
+        for start in range(max(0, end - longest), end):
+            found = pieces.get(text[start:end])
+            if found:
+                own = (found[0],)
+                more = found[1]
+            elif end == start + 1:
+                own = tuple(byte_ids[b] for b in text[start].encode())
+                more = len(own) * byte_score
+            else:
+                continue
+            at[end] += [(s + more, (own, chain)) for s, chain in at[start]]
+        at[end] = sorted(at[end], key=lambda e: -e[0])[:n]
+    out = []
+    for score, chain in at[-1]:
+        ids = []
+        while chain:
+            ids[:0] = chain[0]
+            chain = chain[1]
+        out.append((score, ids))
+    return out
+
+
+def test_segment_against_one_lattice_per_text(spark, sf):
+    import hashlib
+
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=P.MODEL)
+    plain = [i for i in range(model.vocab_size())
+             if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+    pieces = {model.id_to_piece(i): (i, int(model.get_score(i))) for i in plain}
+    byte_ids = {int(model.id_to_piece(i)[3:5], 16): i for i in range(model.vocab_size()) if model.is_byte(i)}
+    worst = min(s for _, s in pieces.values() if s > -(10 ** 8)) - 10
+    df = spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) between 1 and 1500").limit(60)
+    texts = {r.doc_id: r.text for r in df.collect()}
+    got = P.segment(df, {"doc_id": df.doc_id}).collect()
+    assert len(got) == len(texts) > 20
+    for r in got:
+        paths = whole_text_best(pieces, max(map(len, pieces)), byte_ids, worst,
+                                "▁" + texts[r.doc_id].replace(" ", "▁"), P.N_BEST)
+        assert r.scores == ",".join(str(s) for s, _ in paths) and r.round_trip and r.n_best == len(paths)
+        if len(paths) < 2 or paths[0][0] > paths[1][0]:
+            ids = paths[0][1]
+            assert (r.n_pieces, r.ids_sha256) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
