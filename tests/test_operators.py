@@ -269,6 +269,25 @@ def test_strongest_results_come_first(spark):
     assert [r.log10_p for r in explore.filter_results(df).orderBy("log10_p").collect()] == [2.0, 350.0, 400.0]
 
 
+UNDERFLOWN = ("outcome string, exposure_id string, model_spec_id string, strata string, n long, n_cases long, "
+              "estimate double, se double, odds_ratio double, p_value double, p_adj_fdr double, neg_log10_p double, "
+              "q_value double")
+
+
+def underflown(spark, *_):
+    """Two results, one with a p-value of zero."""
+    data = [("o", e, "logit_unadjusted_male", "male", 900, 90, 0.5, 0.01, 1.6, p, p, at, p)
+            for e, p, at in (("a", 0.0, 540.0), ("b", 0.01, 2.0))]
+    return spark.createDataFrame(data, UNDERFLOWN)
+
+
+def test_export_has_the_logarithm_of_the_stored_p(spark, monkeypatch):
+    from checks import scan_queries
+    monkeypatch.setattr(scan_queries, "unadjusted_scan", underflown)
+    got = scan_queries.results_export(spark, "").collect()
+    assert {r.exposure_id: r.log10_p for r in got} == {"a": float("inf"), "b": 2.0}
+
+
 def test_inputs_are_scanned_twice_at_most(spark, tmp_path):
     spark.range(500).selectExpr("id", "id % 3 as g", "(id % 97) / 97 as p_value").write.parquet(str(tmp_path / "p"))
     df = spark.read.parquet(str(tmp_path / "p"))
