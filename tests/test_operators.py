@@ -288,6 +288,13 @@ def test_export_has_the_logarithm_of_the_stored_p(spark, monkeypatch):
     assert {r.exposure_id: r.log10_p for r in got} == {"a": float("inf"), "b": 2.0}
 
 
+def test_filtered_results_have_the_logarithm_of_the_stored_p(spark, monkeypatch):
+    from checks import scan_queries
+    monkeypatch.setattr(scan_queries, "unadjusted_scan", underflown)
+    got = scan_queries.filtered_results(spark, "").collect()
+    assert {r.exposure_id: r.log10_p for r in got} == {"a": float("inf"), "b": 2.0}
+
+
 def test_inputs_are_scanned_twice_at_most(spark, tmp_path):
     spark.range(500).selectExpr("id", "id % 3 as g", "(id % 97) / 97 as p_value").write.parquet(str(tmp_path / "p"))
     df = spark.read.parquet(str(tmp_path / "p"))
