@@ -101,3 +101,20 @@ def test_left_out(spark):
             ("heat", o, "none") for o in ("asthma_flag", "copd_flag")}
     alone = df.filter("area = 'a0'")  # one level, counted as wide
     assert fits(alone, [ModelSpec("one", covariates=("area",))], 0, ["heat"]) == {}
+
+
+@pytest.mark.parametrize("wide_levels", [12, 100])
+def test_untold_tests_have_rows_on_request(spark, wide_levels):
+    pdf = people(40, 900, 11).assign(smoke=0.5)
+    pdf.loc[::29, "smoke"] = np.nan
+    df, spec = frame(spark, pdf), ModelSpec("area", covariates=("age", "area"))
+    assert not [k for k in fits(df, [spec], wide_levels) if k[0] == "smoke"]
+    found = scan.fit_models(df, ["smoke", "heat"], ["asthma_flag", "rare_flag"], [spec], wide_levels=wide_levels,
+                            untold=True)
+    got = {(r.exposure_id, r.outcome): r for r in found.collect()}
+    assert set(got) == {("smoke", "asthma_flag"), ("heat", "asthma_flag")}  # the gate still holds
+    row, kept = got["smoke", "asthma_flag"], pdf[pdf.smoke.notna()]
+    assert (row.n, row.n_cases) == (len(kept), kept.asthma_flag.sum())
+    assert row.n_fit == (kept.age.notna() & kept.area.notna()).sum()
+    assert np.isnan([row.estimate, row.se, row.z_value, row.p_value, row.odds_ratio]).all() and not row.converged
+    assert got["heat", "asthma_flag"].converged
