@@ -13,9 +13,12 @@ neighbours in it, does, so lengths are worked on in turn:
    four, wherever the new pair is frequent too, and are summed likewise.
 
 Suffixes are ordered by as many words as the longest phrase has, which is all
-that intervals of such phrases see.  A count travels with the number of its
-shard and its place in the shard's own list, which names it on the way back; a
-shard lists a phrase once, so no phrase has more rows than there are shards.
+that intervals of such phrases see.  A word's count travels with the number of
+its shard and its place in the shard's own list, which names it on the way back.
+Longer phrases are far more, and most of them too rare: a shard deals them to
+blocks by a hash of their names and sends one packed row to a block, which adds
+up exact counts and answers with marks in the order of the shard's row.  A shard
+lists a phrase once, so no phrase takes more of its block than there are shards.
 Parts of a phrase are phrases themselves, found by the names they carry, and
 one-word extensions decide whether a phrase only lives inside a longer one.
 """
@@ -36,16 +39,17 @@ MIN_COUNT = 30
 MAX_WORDS = 4
 TOP = 2000
 SHARD_WORDS = 1 << 21
+BLOCK_WORDS = 1 << 21
 SCALE = 2_000_000
 INSIDE_PERCENT = 80
 UNKNOWN_LANG = "und"
 _SALTS = 256
-_ROWS = 1 << 16  # rows sent at a time
-_PLACES = 31  # bits of a place in a shard's list
+_PLACES = 31  # bits of a place in a shard's list, or of a phrase's place in its block
 _SHARDS = 12  # bits of a shard's number in its task
 # Characters that end a piece of text.
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _BREAK = b"\xff"  # in no UTF-8 text
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 _TABLE = bytes.maketrans(_ENDS, _BREAK * len(_ENDS))
 
 
@@ -185,24 +189,72 @@ class Index:
 
 
 def _places(listed: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a shard's frequent phrases, ascending, and their names."""
+    """Places of a shard's frequent words and their names, ascending by name."""
     place, name = listed["place"].to_numpy(), listed["name"].to_numpy()
-    order = np.argsort(place)
+    order = np.argsort(name)
     return place[order].astype(np.int64), name[order]
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
+    """Values compressed with their lowest bytes first, then the next: the higher ones hardly vary."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
 
 
 def _unpacked(packed: bytes, size: int, kind: type) -> np.ndarray:
-    raw = pa.decompress(packed, decompressed_size=size * np.dtype(kind).itemsize, codec="zstd")
-    return np.frombuffer(raw, kind)
+    width = np.dtype(kind).itemsize
+    raw = pa.decompress(packed, decompressed_size=size * width, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, np.uint8).reshape(width, size).T.copy().view(kind).reshape(size)
 
 
 _REDUCED = "shard long, size int, ids binary, n_words int, names binary"
-_PAIRS = "a long, b long, at long, n int"
-_LONGER = "a long, b long, c long, n int"
+_DEALT = "block int, shard long, size int, columns array<binary>"
+_PAIRS = "shard long, block int, size int, marks binary, names binary, name long, a long, b long, total long"
+_LONGER = "a long, b long, c long, total long"
+
+
+def _by_block(keys: list[np.ndarray], blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of a shard's phrases by block and first key, and where each block begins in it."""
+    mixed = np.zeros(len(keys[0]), np.uint64)
+    for key in keys:
+        mixed = (mixed ^ key.astype(np.uint64)) * _MIX
+        mixed ^= mixed >> np.uint64(32)
+    block = (mixed * _MIX >> np.uint64(33)) % np.uint64(blocks)
+    order = np.lexsort((keys[0], block))
+    return order, np.searchsorted(block[order], np.arange(blocks + 1, dtype=np.uint64))
+
+
+def _dealt(shard: int, keys: list[np.ndarray], n: np.ndarray, blocks: int) -> pa.RecordBatch:
+    """A shard's phrases and their counts, one packed row for each block that gets any."""
+    order, begins = _by_block(keys, blocks)
+    filled = np.flatnonzero(np.diff(begins))
+    columns = [c[order] for c in (*keys, n)]
+    packed = []
+    for begin, end in zip(begins[filled].tolist(), begins[filled + 1].tolist()):
+        first, *others = (c[begin:end] for c in columns)
+        packed.append([_packed(c.astype(np.int64)) for c in (np.diff(first, prepend=0), *others)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(filled, pa.int32()), pa.array(np.full(len(filled), shard), pa.int64()),
+         pa.array(np.diff(begins)[filled], pa.int32()), pa.array(packed, pa.list_(pa.binary()))],
+        names=["block", "shard", "size", "columns"])
+
+
+def _summed(dealt: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(keys, total, and for each packed phrase which of these it is) of a block, ascending by keys."""
+    rows = zip(dealt["columns"].to_pylist(), dealt["size"].to_pylist())
+    columns = [np.concatenate(c) for c in zip(*(
+        [np.cumsum(c) if i == 0 else c for i, c in enumerate(_unpacked(p, size, np.int64) for p in packed)]
+        for packed, size in rows))]
+    order = np.lexsort(columns[-2::-1])
+    *keys, n = (c[order] for c in columns)
+    new = np.zeros(len(n), bool)
+    new[0] = True
+    for key in keys:
+        new[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    which = np.empty(len(n), np.int32)
+    which[order] = np.cumsum(new) - 1
+    return [key[first] for key in keys], np.add.reduceat(n, first), which
 
 
 def _reduced_shard(shard: pa.Table, listed: pa.Table) -> pa.Table:
@@ -223,28 +275,66 @@ def _loaded(row: dict) -> tuple[Index, np.ndarray]:
             _unpacked(row["names"], row["n_words"], np.int64))
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            index, word = _loaded(row)
-            first, second, _, count = index.pairs()
-            del index
-            for begin in range(0, len(first), _ROWS):
-                part = slice(begin, begin + _ROWS)
-                at = (row["shard"] << _PLACES) + np.arange(begin, begin + len(first[part]))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (
-                    word[first[part] - 1], word[second[part] - 1], at, count[part].astype(np.int32))],
-                    names=["a", "b", "at", "n"])
-
-
-def _longer_counts(shard: pa.Table, listed: pa.Table) -> pa.Table:
-    """Phrases of three words (c is NULL) and four, named by their neighbouring pairs."""
-    out = []
-    if shard.num_rows and listed.num_rows:
-        index, _ = _loaded(shard.to_pylist()[0])
-        live, name = _places(listed)
-        first, second, low, count = (c[live] for c in index.pairs())
+def _pair_counts(blocks: int):
+    """Shards to their pairs, named by the words and dealt to blocks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                index, word = _loaded(row)
+                first, second, _, count = index.pairs()
+                del index
+                if len(first):
+                    yield _dealt(row["shard"], [word[first - 1], word[second - 1]], count, blocks)
+
+    return run
+
+
+def _frequent_pairs(min_count: int):
+    """A block to its frequent pairs, and to each shard's marks at them with their names."""
+    def run(dealt: pa.Table) -> pa.Table:
+        block = dealt["block"][0].as_py()
+        (a, b), total, which = _summed(dealt)
+        frequent = total >= min_count
+        name = (block << _PLACES) + np.cumsum(frequent) - 1
+        marks, names, sizes, ends = [], [], [], np.cumsum(dealt["size"].to_numpy())
+        for part in np.split(which, ends[:-1]):
+            mark = frequent[part]
+            marks.append(_packed(np.packbits(mark)))
+            names.append(_packed(np.diff(name[part[mark]], prepend=0)))
+            sizes.append(int(mark.sum()))
+        told = pa.table({"shard": dealt["shard"], "block": dealt["block"], "size": pa.array(sizes, pa.int32()),
+                         "marks": pa.array(marks, pa.binary()), "names": pa.array(names, pa.binary())})
+        pairs = pa.table({"name": name[frequent], "a": a[frequent], "b": b[frequent], "total": total[frequent]})
+        return pa.concat_tables([told.filter(pa.array(np.array(sizes) > 0)), pairs], promote_options="default").select(
+            [c.split()[0] for c in _PAIRS.split(", ")])
+
+    return run
+
+
+def _told(keys: list[np.ndarray], listed: pa.Table, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a shard's frequent pairs, ascending, and their names, from the marks of the blocks."""
+    order, begins = _by_block(keys, blocks)
+    places, names = [], []
+    for row in listed.to_pylist():
+        part = order[begins[row["block"]]:begins[row["block"] + 1]]
+        marks = np.unpackbits(_unpacked(row["marks"], -(-len(part) // 8), np.uint8), count=len(part))
+        places.append(part[marks.astype(bool)])
+        names.append(np.cumsum(_unpacked(row["names"], row["size"], np.int64)))
+    place, name = np.concatenate(places), np.concatenate(names)
+    order = np.argsort(place)
+    return place[order], name[order]
+
+
+def _longer_counts(blocks: int):
+    """Phrases of three words and four, named by their neighbouring pairs (the last is -1 for three)."""
+    def run(shard: pa.Table, listed: pa.Table) -> pa.Table:
+        if not shard.num_rows or not listed.num_rows:
+            return pa.Table.from_batches([_dealt(0, [np.empty(0, np.int64)], np.empty(0, np.int64), 1)])
+        index, word = _loaded(shard.to_pylist()[0])
+        first, second, low, count = index.pairs()
+        live, name = _told([word[first - 1], word[second - 1]], listed, blocks)
+        first, second, low, count = (c[live] for c in (first, second, low, count))
         back = index.back.rank(second, index.low[first - 1])
         keys = first * index.size + second
 
@@ -257,15 +347,26 @@ def _longer_counts(shard: pa.Table, listed: pa.Table) -> pa.Table:
         parent, word, n, smaller = index.forward.grow(low, count)
         before, fits = pair(word, first[parent])
         parent, before, n, back = (x[fits] for x in (parent, before, n, back[parent] + smaller))
-        out.append((name[before], name[parent], np.zeros(len(n), np.int64), np.ones(len(n), bool), n))
+        three = name[before], name[parent], np.full(len(n), -1), n
         # To the right from there.
         triple, word, n, _ = index.back.grow(back, n)
         after, fits = pair(second[parent[triple]], word)
         triple, after, n = triple[fits], after[fits], n[fits]
-        out.append((name[before[triple]], name[parent[triple]], name[after], np.zeros(len(n), bool), n))
-    a, b, c, none, n = (np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64),) * 5
-    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64(), mask=none.astype(bool)),
-                     pa.array(n, pa.int32())], names=["a", "b", "c", "n"])
+        four = name[before[triple]], name[parent[triple]], name[after], n
+        *keys, n = (np.concatenate(c) for c in zip(three, four))
+        return pa.Table.from_batches([_dealt(shard["shard"][0].as_py(), keys, n, 2 * blocks)])
+
+    return run
+
+
+def _frequent_longer(min_count: int):
+    """A block to its frequent phrases of three words (c is NULL) and four."""
+    def run(dealt: pa.Table) -> pa.Table:
+        keys, total, _ = _summed(dealt)
+        a, b, c, total = (x[total >= min_count] for x in (*keys, total))
+        return pa.table({"a": a, "b": b, "c": pa.array(c, pa.int64(), mask=c < 0), "total": total})
+
+    return run
 
 
 def _frequent(rows: DataFrame, key: list[str], min_count: int) -> DataFrame:
@@ -325,16 +426,18 @@ def phrases(df: DataFrame, *, lang: str = "lang", text: str = "text", min_count:
     texts = made.select("shard", "size", "ids").groupBy("shard").cogroup(
         _listed(words).groupBy("shard")).applyInArrow(_reduced_shard, _REDUCED)
     texts = written(texts, "reduced")
-    pairs = written(_frequent(texts.mapInArrow(_pair_counts, _PAIRS), ["a", "b"], min_count), "pairs")
-    longer = texts.groupBy("shard").cogroup(_listed(pairs).groupBy("shard")).applyInArrow(_longer_counts, _LONGER)
-    longer = longer.groupBy("a", "b", "c").agg(F.sum("n").alias("total")).filter(F.col("total") >= min_count)
-    longer = written(longer, "longer")
+    blocks = 1 + (texts.agg(F.sum("size")).first()[0] or 0) // BLOCK_WORDS
+    pairs = texts.mapInArrow(_pair_counts(blocks), _DEALT).groupBy("block").applyInArrow(_frequent_pairs(min_count), _PAIRS)
+    pairs = written(pairs, "pairs")
+    told = pairs.filter("shard is not null").select("shard", "block", "size", "marks", "names")
+    longer = texts.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(_longer_counts(blocks), _DEALT)
+    longer = written(longer.groupBy("block").applyInArrow(_frequent_longer(min_count), _LONGER), "longer")
 
     total = F.array("total")
     spelled = F.col("word").cast("string")
     one = words.filter("at = name").select("name", "lang", spelled.alias("phrase"), spelled.alias("last"),
                                            total.alias("heads"), total.alias("tails"))
-    two = pairs.filter("at = name").select("name", "a", "b", "total")
+    two = pairs.filter("shard is null").select("name", "a", "b", "total")
     two = written(_joined(two, one, {"a": "name"}, one, {"b": "name"}), "two")
     three = longer.filter("c is null").select("a", "b", "total")
     three = written(_joined(three, two, {"a": "name"}, two, {"b": "name"}), "three")
